@@ -29,7 +29,8 @@ def primary_category(category: ColumnLike = "category") -> Column:
 def _lookup(key: Column, names: Mapping[str, str], default: Column) -> Column:
     branches = None
     for code, name in names.items():
-        branches = (branches or F).when(key == code, F.lit(name))
+        branch = F if branches is None else branches
+        branches = branch.when(key == code, F.lit(name))
     return branches.otherwise(default)
 
 
