@@ -7,9 +7,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.session import fresh_path
+from folioscope.sources.tables import read_table, write_table
+
 #: Largest table, in bytes of row text, that is sent whole to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+#: Row count up to which spreading a frame costs next to nothing.
+SPREAD_ROWS = 50_000
+
 
 def repartition_n(df: DataFrame, n: int = 0) -> DataFrame:
     """Redistribute into ``n`` partitions; zero or less leaves the frame alone."""
@@ -17,17 +23,18 @@ def repartition_n(df: DataFrame, n: int = 0) -> DataFrame:
 
 
 def partition_count(df: DataFrame) -> int:
+    """Partitions of a frame; for one read straight from files, no job is run."""
     return df.rdd.getNumPartitions()
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Spread a frame over all cores when its files give fewer partitions than cores.
+def spread_small(df: DataFrame, rows: int, limit: int = SPREAD_ROWS) -> DataFrame:
+    """Spread a small frame over all cores before a CPU-heavy step.
 
-    For CPU-heavy steps over few files. Inputs with enough partitions, as any
-    large table has, pass through without a shuffle.
+    A small table may sit in one file split and so in one task. Above
+    ``limit`` rows files give splits enough, and the frame passes through
+    without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if partition_count(df) < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if rows <= limit else df
 
 
 @contextmanager
@@ -40,6 +47,17 @@ def cache_materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
         held.unpersist()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A frame written once to the shared folder and read back.
+
+    Later steps re-read files instead of recomputing, whatever executors are
+    lost, and Catalyst knows the size of what it joins.
+    """
+    path = fresh_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def row_bytes(df: DataFrame) -> int:
     """Bytes of all values of a frame written as text; one aggregation, no shuffle of rows."""
     text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns])
