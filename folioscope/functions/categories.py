@@ -23,20 +23,17 @@ SHORT_NAMES = {"Electrical Engineering and Systems Science": "Electrical Enginee
 
 def primary_category(category: ColumnLike = "category") -> Column:
     """The first code of a blank-separated category list."""
-    return F.get(F.split(as_column(category), " "), F.lit(0))
+    return F.substring_index(as_column(category), " ", 1)
 
 
 def _lookup(key: Column, names: Mapping[str, str], default: Column) -> Column:
-    branches = None
-    for code, name in names.items():
-        branch = F if branches is None else branches
-        branches = branch.when(key == code, F.lit(name))
-    return branches.otherwise(default)
+    entries = [F.lit(text) for item in names.items() for text in item]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), key), default)
 
 
 def main_category_of(code: ColumnLike) -> Column:
     """Main category of one code, by the part before its first dot."""
-    prefix = F.get(F.split(as_column(code), r"\."), F.lit(0))
+    prefix = F.substring_index(as_column(code), ".", 1)
     return _lookup(prefix, MAIN_CATEGORIES, F.lit(DEFAULT_MAIN_CATEGORY))
 
 

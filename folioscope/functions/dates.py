@@ -20,7 +20,7 @@ def article_date(identifier: ColumnLike = "id") -> Column:
     old_style = identifier.contains("/")
     numbered = F.when(old_style, F.get(F.split(identifier, "/"), F.lit(1))).otherwise(identifier)
     year_month = F.substring(numbered, 1, 4)
-    nineties = old_style & (F.substring(numbered, 1, 2) >= CENTURY_PIVOT)
+    nineties = old_style & (year_month >= CENTURY_PIVOT)
     century = F.when(nineties, F.lit("19")).otherwise(F.lit("20"))
     return F.try_to_date(F.concat(century, year_month), "yyyyMM")
 
