@@ -1,5 +1,7 @@
 """Reading a field from a JSON line by text position instead of parsing."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,10 +25,8 @@ def scan_field(body: ColumnLike, key: str, skip: int = 3) -> Column:
     the word ``None``.
     """
     body = as_column(body)
-    quoted = f'"{key}"'
-    found = F.locate(quoted, body)
-    rest = F.substring(body, found + len(quoted) + skip, F.length(body))
-    upto_quote = F.substring_index(rest, '"', 1)
-    unclosed = F.locate('"', rest) == 0
-    value = F.when(unclosed, F.substring(rest, F.lit(1), F.length(rest) - 1)).otherwise(upto_quote)
-    return F.when(found == 0, F.lit(ABSENT)).otherwise(value)
+    marker = f'"{key}"'
+    upto_quote, all_but_last = r'[^"]*+(?=")', r'[^"]*(?=.\z)'
+    value = rf"(?s){re.escape(marker)}.{{0,{skip}}}({upto_quote}|{all_but_last}|)"
+    absent = ~F.contains(body, F.lit(marker))
+    return F.when(absent, F.lit(ABSENT)).otherwise(F.regexp_extract(body, value, 1))

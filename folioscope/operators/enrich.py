@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import article_date, author_count, clean_update_date, text_concat
-from folioscope.operators.joins import taxonomy_join
+from folioscope.operators.joins import taxonomy_join_broadcast
 from folioscope.schema import ENRICHED_SCHEMA
 
 
@@ -12,7 +12,7 @@ def enrich_articles(
     articles: DataFrame, taxonomy: DataFrame, missing_authors: int | None = None
 ) -> DataFrame:
     """Join the taxonomy, date each article, count its authors, build its text."""
-    joined = taxonomy_join(articles, taxonomy)
+    joined = taxonomy_join_broadcast(articles, taxonomy)
     return joined.withColumns(
         {
             "article_date": article_date("id"),

@@ -33,13 +33,15 @@ def taxonomy_join(articles: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 
 def taxonomy_join_broadcast(
-    articles: DataFrame, taxonomy: DataFrame, identifier: str = "id", limit: int | None = None
+    articles: DataFrame, taxonomy: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """The same join with the physical strategy picked here, from the taxonomy's size.
 
     A taxonomy of at most ``limit`` bytes is broadcast. A larger one joins by
     shuffle on (code, salt): its rows are copied once per salt, so that the
-    articles of a hot category spread over that many tasks.
+    articles of a hot category spread over that many tasks. The salt hashes
+    the whole article, so it is the same in a retried task and spreads the
+    versions of one identifier too; AQE splits what is left.
     """
     codes = one_row_per_key(taxonomy, ["sub_category"])
     small = fits_broadcast(codes) if limit is None else fits_broadcast(codes, limit)
@@ -49,10 +51,11 @@ def taxonomy_join_broadcast(
     if small:
         joined = keyed.join(F.broadcast(codes), keyed["_code"] == codes["sub_category"], "inner")
     else:
-        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(identifier), F.lit(SALTS)).cast("int"))
+        salt = F.pmod(F.xxhash64(*_article_columns(articles)), F.lit(SALTS)).cast("int")
+        salted = keyed.withColumn("_salt", salt)
         copies = codes.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         same = (salted["_code"] == copies["sub_category"]) & (salted["_salt"] == copies["_copy"])
-        joined = salted.join(copies, same, "inner")
+        joined = salted.join(copies.hint("merge"), same, "inner")
     return joined.select(
         *_article_columns(articles), "main_category", F.col("description").alias("main_topic")
     )

@@ -66,7 +66,9 @@ def upsert(
 
     keys = keyed_updates.select(key)
     if small:
-        present = keyed_target.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
+        # matched keys are some of the updates' keys, so the same size check covers them
+        matched = keyed_target.select(key).join(F.broadcast(keys), key, "left_semi")
+        present = F.broadcast(matched.distinct())
     else:
         present = keyed_target.select(key).distinct()
     inserted = _inserted(keyed_updates.join(present, key, "left_anti"), target, insert_columns)

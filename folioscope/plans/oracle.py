@@ -462,7 +462,7 @@ JOIN LATERAL (SELECT count(*) AS p FROM scored_labels q WHERE q.prediction = a.l
 # --- layout --------------------------------------------------------------------------------
 
 ORACLE["repartition_n"] = _sql("articles", "SELECT id, category FROM articles")
-ORACLE["partition_count"] = "SELECT CAST(12 AS BIGINT) AS partitions FROM documents LIMIT 1"
+ORACLE["partition_count"] = "SELECT least(12, count(*)) AS partitions FROM documents"
 ORACLE["cache_materialise"] = _sql(
     "articles",
     'SELECT lang, count(*) AS "count", (SELECT count(*) FROM articles) AS total FROM articles GROUP BY lang',

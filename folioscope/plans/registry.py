@@ -139,13 +139,13 @@ def main_category_rows(spark, sf_dir):
 
 @query("local_rows_source")
 def local_rows_source(spark, sf_dir):
-    """Main categories from literal rows, joined to every article's code."""
+    """Main categories from seven literal rows, joined to every article's code."""
     names = spark.createDataFrame(list(MAIN_CATEGORIES.items()), ["prefix", "name"])
     coded = open_view(spark, sf_dir, "coded_articles").select(
         "id", F.get(F.split("category", r"\."), F.lit(0)).alias("prefix")
     )
     main = F.coalesce("name", F.lit(DEFAULT_MAIN_CATEGORY)).alias("main_category")
-    return coded.join(names, "prefix", "left").select("id", main)
+    return coded.join(F.broadcast(names), "prefix", "left").select("id", main)
 
 
 @query("table_write")

@@ -49,12 +49,8 @@ def test_broadcast_only_below_the_limit(spark, frame, plan_of):
     taxonomy = frame([("CS", "cs.AI", "AI")], TAXONOMY)
     articles = hot_articles(spark)
     assert "BroadcastHashJoin" in plan_of(joins.taxonomy_join_broadcast(articles, taxonomy))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        salted = plan_of(joins.taxonomy_join_broadcast(articles, taxonomy, limit=0))
-        assert "BroadcastHashJoin" not in salted and "_salt" in salted
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    salted = plan_of(joins.taxonomy_join_broadcast(articles, taxonomy, limit=0))
+    assert "BroadcastHashJoin" not in salted and "SortMergeJoin" in salted and "_salt" in salted
 
 
 def test_code_listed_twice_does_not_multiply_articles(frame):
