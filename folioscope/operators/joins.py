@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import primary_category
 from folioscope.operators.dedupe import one_row_per_key
-from folioscope.operators.layout import fits_broadcast
+from folioscope.operators.layout import BROADCAST_BYTES, fits_broadcast
 
 #: Parts a taxonomy row is copied into when both sides of the join are shuffled.
 SALTS = 32
@@ -44,7 +44,7 @@ def taxonomy_join_broadcast(
     versions of one identifier too; AQE splits what is left.
     """
     codes = one_row_per_key(taxonomy, ["sub_category"])
-    small = fits_broadcast(codes) if limit is None else fits_broadcast(codes, limit)
+    small = fits_broadcast(taxonomy, BROADCAST_BYTES if limit is None else limit)
     keyed = articles.select(
         *_article_columns(articles), primary_category("category").alias("_code")
     )
