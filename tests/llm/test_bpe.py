@@ -1,0 +1,75 @@
+"""Byte-level BPE against the reference library, and exact round trips."""
+
+import hashlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from folioscope.llm import bpe
+from folioscope.llm.queries import QUERIES
+
+DATA = "/root/testdata/sf0.001"
+RANKS = P.path("byte_bpe_50k.tiktoken")
+RANK_TABLE = bpe.parse_ranks(bpe.read_file(RANKS))
+CODER = bpe.Coder(RANK_TABLE, P.PATTERN)
+THEIRS = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANK_TABLE, special_tokens={})
+
+
+def ours(text):
+    return np.frombuffer(CODER.encode(text), "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(), st.text("abehinorst ", max_size=60), st.text("a \n", max_size=80), st.text("éß漢🙂1.", max_size=30)))
+def test_same_tokens(text):
+    assert ours(text) == THEIRS.encode_ordinary(text)
+    assert CODER.decode(np.frombuffer(CODER.encode(text), "<u4")) == text.encode()
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 2000, "the" * 999, " " * 777 + "x", "é" * 500, "=" * 1025, "x" * 255 + "y" * 300, "<|endoftext|>"])
+def test_long_matches(text):
+    assert ours(text) == THEIRS.encode_ordinary(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(min_size=257, max_size=600))
+def test_queue_equals_plain_merging(piece):
+    parts = bpe._merge_queue(piece, RANK_TABLE)
+    assert b"".join(CODER.bytes_of[t] for t in parts) == piece
+    assert list(parts) == THEIRS._encode_single_piece(piece)
+
+
+def test_emptied_memo_changes_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    small = bpe.Coder(RANK_TABLE, P.PATTERN)
+    text = "Thtioning of the bleanre, erhe onnd thst. " * 3
+    assert np.frombuffer(small.encode(text), "<u4").tolist() == THEIRS.encode_ordinary(text)
+
+
+def test_edge_rows_and_clashing_columns(spark):
+    rows = [(1, None, 7), (2, "", 8), (3, "Hello wörld", 9), (3, "Hello wörld", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, token_ids int")
+    coded = bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS, P.PATTERN, as_text=True)
+    assert coded.columns == ["doc_id", "text", "token_ids", "decoded"]
+    found = sorted((r.doc_id, len(r.token_ids) // 4, r.decoded) for r in coded.collect())
+    n = len(THEIRS.encode_ordinary("Hello wörld"))
+    assert found == [(1, 0, ""), (2, 0, ""), (3, n, "Hello wörld"), (3, n, "Hello wörld")]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert bpe.digests(docs, RANKS, P.PATTERN).collect() == []
+
+
+def test_query_against_the_library(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").collect()
+    want = set()
+    for row in docs:
+        ids = THEIRS.encode_ordinary(row.text or "")
+        raw = np.array(ids, "<u4").tobytes()
+        want.add((row.doc_id, len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256((row.text or "").encode()).hexdigest()))
+    assert {tuple(r) for r in QUERIES["op4_byte_bpe"](spark, DATA).collect()} == want
