@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioscope.llm import bpe
-from folioscope.llm.common import open_docs
+from folioscope.llm import bpe, langid, licences, suffix_tree
+from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +25,23 @@ def query(function: Query) -> Query:
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(open_docs(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = open_docs(spark, sf_dir).select("doc_id", "text", "lang", is_held_out(F.col("doc_id"), 5).alias("held_out"))
+    labelled = docs.where("not held_out").select(F.col("doc_id").alias("key"), "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text", "held_out"), langid.fit(labelled))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = open_docs(spark, sf_dir).select("doc_id", "text", is_held_out(F.col("doc_id"), 10).alias("held_out"))
+    model, vocabulary = suffix_tree.fit(docs.where("not held_out"))
+    return suffix_tree.score(docs, model, vocabulary)
+
+
+@query
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(open_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
