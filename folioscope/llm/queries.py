@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, langid, licences, suffix_tree
+from folioscope.llm import bpe, html_text, langid, licences, suffix_tree
 from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,9 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(open_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = open_docs(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.fit(pages)).drop("html")
