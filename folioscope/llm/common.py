@@ -52,6 +52,13 @@ def appended(batch: pa.RecordBatch, schema: StructType, **values) -> pa.RecordBa
     )
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, so that a task never holds Python copies of a whole batch."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null is an empty text."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

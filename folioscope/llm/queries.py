@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, html_text, langid, licences, suffix_tree
+from folioscope.llm import bpe, html_text, langid, licences, private, suffix_tree
 from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,9 @@ ORACLE: dict[str, str] = {}
 #: The vocabulary of the encoding query; the file belongs to the box and is never copied.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: Key of the registered pseudonyms; a real run takes its own from a secret store.
+PRIVATE_KEY = "folioscope"
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -51,3 +54,8 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = open_docs(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.main_text(pages, html_text.fit(pages)).drop("html")
+
+
+@query
+def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.pseudonymise(open_docs(spark, sf_dir).select("doc_id", "text"), PRIVATE_KEY)
