@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from folioscope.llm.common import appended, with_columns
+from folioscope.llm.common import appended, slices, with_columns
 
-#: Entries that each of a worker's memo tables may hold; a full one is emptied, which costs only time.
-MEMO = 300_000
+#: Entries that each of a worker's memo tables may hold (about 20 MB); a full one is emptied, which costs only time.
+MEMO = 150_000
 
 #: Identifiers that one leaf of the decoding tree takes.
 DECODE_LEAF = 4096
@@ -192,7 +192,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shipped.value, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [coder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield appended(batch, schema, **{out: pa.array(ids, pa.binary())})
 
@@ -208,7 +208,7 @@ def decode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shipped.value, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [coder.decode(np.frombuffer(b or b"", "<u4")) for b in batch.column(ids).to_pylist()]
             made = pa.array([t.decode("utf-8", "replace") for t in texts]) if as_text else pa.array(texts, pa.binary())
             yield appended(batch, schema, **{out: made})
