@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, html_text, jaccard_join, langid, licences, private, suffix_tree
+from folioscope.llm import bpe, html_text, jaccard_join, langid, licences, private, repeats, suffix_tree
 from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(open_docs(spark, sf_dir), words=3, share=90)
+
+
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(open_docs(spark, sf_dir).select("doc_id", "text"))
