@@ -17,6 +17,11 @@ _UPPER = bytes(range(65, 91))
 #: For bytes.translate: A-Z to lower case, everything else unchanged.
 LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
+_WORD = [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]
+
+#: For bytes.translate: A-Z to lower case, and all but letters, digits and bytes of characters outside ASCII to spaces.
+WORDS_ONLY = LOWER.translate(bytes(b if b in _WORD else 0x20 for b in range(256)))
+
 #: For each byte, whether it is white space of the word contracts (space, tab to carriage return).
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 

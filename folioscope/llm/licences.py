@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 
-from folioscope.llm.common import LOWER, appended, text_bytes, with_columns
+from folioscope.llm.common import WORDS_ONLY, appended, text_bytes, with_columns
 
 #: Exact phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -41,15 +41,12 @@ NOTICES = [
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 12
 
-_WORD = [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]
-_WORDS_ONLY = LOWER.translate(bytes(b if b in _WORD else 0x20 for b in range(256)))
-
 SPAN = StructType().add("label", StringType()).add("first_word", LongType()).add("last_word", LongType()).add("edits", IntegerType())
 
 
 def words_only(text: bytes) -> str:
     """The words, joined by single spaces, with a space before the first and after the last; empty without words."""
-    words = text.translate(_WORDS_ONLY).split()
+    words = text.translate(WORDS_ONLY).split()
     return f" {b' '.join(words).decode()} " if words else ""
 
 

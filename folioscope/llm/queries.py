@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, html_text, jaccard_join, langid, licences, private, repeats, suffix_tree
+from folioscope.llm import bpe, html_text, jaccard_join, langid, leaks, licences, private, repeats, suffix_tree
 from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(open_docs(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.pairs(open_docs(spark, sf_dir), open_docs(spark, sf_dir, "benchmark"))

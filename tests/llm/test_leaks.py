@@ -1,0 +1,109 @@
+"""Decontamination: WAND against full scoring, and leaks against a plain search."""
+
+import random
+
+import numpy as np
+import pytest
+
+from folioscope.llm import leaks
+from folioscope.llm.queries import QUERIES
+
+
+def random_index(rng, n_items, words):
+    rows, df = [], {}
+    for item in range(n_items):
+        terms = {}
+        for _ in range(rng.randrange(3, 20)):
+            t = min(int(rng.expovariate(0.05)), words - 1)
+            terms[b"t%d" % t] = terms.get(b"t%d" % t, 0) + 1
+        for t in terms:
+            df[t] = df.get(t, 0) + 1
+        rows += [(item, 0, t, n) for t, n in terms.items()]
+    rows = [(*r, df[r[2]]) for r in rows]
+    return leaks.Index(rows, [(i, "a b. c d.") for i in range(n_items)], n_items, sum(r[3] for r in rows))
+
+
+@pytest.mark.parametrize("block", [1, 3, 32])
+def test_wand_finds_all_above_the_threshold(block, monkeypatch):
+    monkeypatch.setattr(leaks, "BLOCK", block)
+    rng = random.Random(block)
+    index = random_index(rng, 300, 80)
+    total = 0
+    for _ in range(200):
+        terms = rng.sample(range(len(index.terms)), rng.randrange(1, 25))
+        score = np.zeros(300)
+        for t in terms:
+            score[index.postings[t].chunks] += index.postings[t].weights
+        threshold = rng.choice([0.2, 0.4, 0.6, 0.9])
+        want = {i: score[i] for i in np.flatnonzero(score >= threshold).tolist()}
+        got = dict(index.search(terms, threshold))
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in got)
+        total += len(want)
+    assert total > 100
+
+
+def items():
+    rng = random.Random(9)
+    return [(i, ". ".join(" ".join(f"b{rng.randrange(4000)}" for _ in range(rng.randrange(5, 15))) for _ in range(rng.choice([2, 3, 12])))) for i in range(30)]
+
+
+def test_planted_items(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "SHARD_BYTES", 2000)  # several shards
+    rng = random.Random(3)
+    rows, want = [], set()
+    for doc in range(120):
+        words = [f"w{rng.randrange(9000)}" for _ in range(rng.randrange(0, 400))]
+        if doc % 3 == 0:
+            item, text = rng.choice(items())
+            leaked = text.split()
+            if doc % 6 == 0:
+                leaked[rng.randrange(len(leaked))] = "CHANGED"
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [w.upper() if doc % 2 else w for w in leaked]
+            want.add((doc, item))
+        elif doc % 3 == 1:  # the first words of a question alone do not count
+            words += rng.choice(items())[1].split()[:4]
+        rows.append((doc, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items(), "item_id long, text string")
+    got = leaks.pairs(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert all(0.6 <= r.score <= 1 + 1e-9 and r.question_overlap >= 0.5 and r.answer_overlap >= 0.5 for r in got)
+
+
+def test_parts_of_an_item():
+    assert leaks.question_and_answer("What is it? Answer: a Cat") == ([b"what", b"is", b"it"], [b"a", b"cat"])
+    assert leaks.question_and_answer("One two. Three four.\nFive.") == ([b"one", b"two", b"three", b"four"], [b"five"])
+    assert leaks.question_and_answer("a b c d e f") == ([b"a", b"b", b"c", b"d"], [b"e", b"f"])
+    assert leaks.question_and_answer("") == ([], [])
+
+
+def test_edge_rows(spark):
+    rows = [(1, None), (2, ""), (3, "what is the colour of snow? it is white"), (3, "what is the colour of snow? it is white"), (None, "the snow")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS leaks", "5 AS item_id")
+    benchmark = spark.createDataFrame([(1, "What is the colour of snow? It is white."), (2, None), (3, ""), (4, "...")], "item_id long, text string")
+    found = leaks.find(docs, benchmark)
+    assert found.columns == ["doc_id", "text", "item_id", "leaks"]
+    got = sorted((r.doc_id or 0, [x.item_id for x in r.leaks]) for r in found.collect())
+    assert got == [(0, []), (1, []), (2, []), (3, [1]), (3, [1])]
+    assert leaks.pairs(docs.limit(0), benchmark).collect() == []
+    assert leaks.pairs(docs, benchmark.limit(0)).collect() == []
+
+
+def test_long_text(spark):
+    text = "what is the colour of snow it is white"
+    docs = spark.createDataFrame([(1, "filler words " * 30_000 + text)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert [r.item_id for r in leaks.pairs(docs, benchmark).collect()] == [1]
+
+
+def test_query(spark, data, documents):
+    """Every document that holds most of an item's word triples, and no other."""
+    triples = lambda words: set(zip(words, words[1:], words[2:], strict=False))
+    benchmark = [(r.item_id, triples(leaks.words_of(r.text.encode()))) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    want = set()
+    for doc in documents:
+        own = triples(leaks.words_of((doc["text"] or "").encode()))
+        want |= {(doc["doc_id"], i) for i, t in benchmark if len(own & t) >= 0.7 * len(t)}
+    rows = QUERIES["op9_leaks"](spark, data).collect()
+    assert want and {(r.doc_id, r.item_id) for r in rows} == want
