@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, html_text, jaccard_join, langid, leaks, licences, private, repeats, suffix_tree
+from folioscope.llm import bpe, html_text, jaccard_join, langid, leaks, licences, nearest, private, repeats, suffix_tree
 from folioscope.llm.common import is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.pairs(open_docs(spark, sf_dir), open_docs(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = open_docs(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, vectors.where("vec_id % 100 = 0"))
