@@ -1,25 +1,73 @@
-"""From raw documents to token identifiers, one stage after another."""
+"""From raw documents to token identifiers, one stage after another.
 
-from pyspark.sql import DataFrame, SparkSession
+Every stage takes (spark, docs, sf_dir) and works on all rows it gets. All but the last return the columns of documents. What each does
+with nulls, empty and repeated rows is stated with its operator in folioscope/llm; here that means: documents without a
+letter in their text go in the first stage, documents without an identifier are never copies of others, and of rows that repeat an
+identifier one stays.
+"""
 
-from folioscope.llm.common import open_docs, store
-from folioscope.llm.queries import RANKS
-from folioscope.llm import bpe
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from folioscope.llm import bpe, jaccard_join, langid, leaks, private
+from folioscope.llm.common import open_docs, store
+from folioscope.llm.queries import PRIVATE_KEY, RANKS
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is near enough to a language; learned from those with a label."""
+    model = langid.fit(docs.select(F.col("doc_id").alias("key"), "text", "lang"))
+    found = langid.predict(docs, model)
+    return found.where("not rejected").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles (similarity 0.8) the one with the smallest identifier."""
+    groups = jaccard_join.join(docs, words=5, share=80)
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    # rows that repeat an identifier: the row limit works within each task first, and the join reuses its partitioning
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*[c for c in docs.columns if c != "text"]))
+    single = docs.where("doc_id is not null").withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+    return single.join(kept, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    found = leaks.find(docs, open_docs(spark, sf_dir, "benchmark"), out="_leaks")
+    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+
+
+def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms; n_chars follows the text."""
+    found = private.pseudonymise(docs, PRIVATE_KEY)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_private") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+        found = found.withColumn("n_chars", length.otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token identifiers (four bytes each); text is what these decode to."""
     coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    return bpe.decode(coded, RANKS, public_tokenizers.PATTERN)
+    decoded = bpe.decode(coded, RANKS, public_tokenizers.PATTERN, out="text", as_text=True)
+    return decoded.withColumn("n_tokens", F.call_function("div", F.octet_length("token_ids"), F.lit(4)).cast("long"))
 
 
-STAGES = [("byte-level BPE", tokens)]
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("PII", without_private_data),
+    ("byte-level BPE", tokens),
+]
 
+#: Sketches, permutations and tokens are beyond SQL; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = open_docs(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    for _, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), "stage")
     return docs
