@@ -35,6 +35,7 @@ HEADLINE = [
     "label_index",
     "classify_nb",
     "classify_lr",
+    "classify_rf",
     "metric_f1",
     "upsert",
 ]

@@ -40,7 +40,7 @@ def taxonomy_join_broadcast(
     A taxonomy of at most ``limit`` bytes is broadcast. A larger one joins by
     shuffle on (code, salt): its rows are copied once per salt, so that the
     articles of a hot category spread over that many tasks. The salt hashes
-    the whole article, so it is the same in a retried task and spreads the
+    the short columns, so it is the same in a retried task and spreads the
     versions of one identifier too; AQE splits what is left.
     """
     codes = one_row_per_key(taxonomy, ["sub_category"])
@@ -51,7 +51,8 @@ def taxonomy_join_broadcast(
     if small:
         joined = keyed.join(F.broadcast(codes), keyed["_code"] == codes["sub_category"], "inner")
     else:
-        salt = F.pmod(F.xxhash64(*_article_columns(articles)), F.lit(SALTS)).cast("int")
+        short = [c for c in _article_columns(articles) if c not in ("abstract", "title", "text")]
+        salt = F.pmod(F.xxhash64(*short), F.lit(SALTS)).cast("int")
         salted = keyed.withColumn("_salt", salt)
         copies = codes.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         same = (salted["_code"] == copies["sub_category"]) & (salted["_salt"] == copies["_copy"])

@@ -13,9 +13,6 @@ from folioscope.sources.tables import read_table, write_table
 #: Largest table, in bytes of row text, that is sent whole to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-#: Row count up to which spreading a frame costs next to nothing.
-SPREAD_ROWS = 50_000
-
 
 def repartition_n(df: DataFrame, n: int = 0) -> DataFrame:
     """Redistribute into ``n`` partitions; zero or less leaves the frame alone."""
@@ -27,16 +24,6 @@ def partition_count(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def spread_small(df: DataFrame, rows: int, limit: int = SPREAD_ROWS) -> DataFrame:
-    """Spread a small frame over all cores before a CPU-heavy step.
-
-    A small table may sit in one file split and so in one task. Above
-    ``limit`` rows files give splits enough, and the frame passes through
-    without a shuffle.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if rows <= limit else df
-
-
 @contextmanager
 def cache_materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
     """Hold a frame, on disk where memory is short, and give it with its row count."""
@@ -48,9 +35,10 @@ def cache_materialised(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """A frame written once to the shared folder and read back.
+    """A frame written once to the run folder, or else the shared one, and read back.
 
-    Later steps re-read files instead of recomputing, whatever executors are
+    Inside ``session.run_folder`` the table is deleted with the run; outside,
+    whoever set the shared folder deletes it. Later steps re-read files instead of recomputing, whatever executors are
     lost, and Catalyst knows the size of what it joins.
     """
     path = fresh_path(df.sparkSession, name)

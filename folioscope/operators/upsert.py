@@ -40,22 +40,23 @@ def upsert(
     updates, rather than one full outer join. Updates of a checked small size
     are broadcast, and then the target is not shuffled at all; otherwise both
     sides shuffle by key and AQE may split a key the target repeats, which a
-    full outer join rules out. Rows with NULL keys join nothing and never
-    enter a shuffle.
+    full outer join rules out. The target is read twice: whole, and once more
+    for its keys alone. Rows with NULL keys join nothing; a number of their own
+    in the join key spreads them over all tasks.
     """
     check_unique_key(updates, key)
     small = row_bytes(updates.select(key, *set_columns)) <= broadcast_bytes
-    keyed_target = target.where(F.col(key).isNotNull())
     keyed_updates = updates.where(F.col(key).isNotNull())
+    own = F.struct(F.col(key), F.when(F.col(key).isNull(), F.xxhash64(*target.columns)).otherwise(F.lit(0)).alias("n"))
 
     changes = keyed_updates.select(
-        F.col(key).alias("_key"),
+        F.struct(F.col(key), F.lit(0).cast("long").alias("n")).alias("_key"),
         F.lit(True).alias("_matched"),
         *[F.col(c).alias(f"_new_{c}") for c in set_columns],
     )
     if small:
         changes = F.broadcast(changes)
-    updated = keyed_target.join(changes, F.col(key) == F.col("_key"), "left").select(
+    updated = target.withColumn("_own", own).join(changes, F.col("_own") == F.col("_key"), "left").select(
         *[
             F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in set_columns
@@ -64,18 +65,13 @@ def upsert(
         ]
     )
 
-    keys = keyed_updates.select(key)
+    present = target.where(F.col(key).isNotNull()).select(key)
     if small:
         # matched keys are some of the updates' keys, so the same size check covers them
-        matched = keyed_target.select(key).join(F.broadcast(keys), key, "left_semi")
-        present = F.broadcast(matched.distinct())
-    else:
-        present = keyed_target.select(key).distinct()
+        present = F.broadcast(present.join(F.broadcast(keyed_updates.select(key)), key, "left_semi").distinct())
     inserted = _inserted(keyed_updates.join(present, key, "left_anti"), target, insert_columns)
-
-    unkeyed_target = target.where(F.col(key).isNull())
     unkeyed_updates = _inserted(updates.where(F.col(key).isNull()), target, insert_columns)
-    return updated.unionByName(inserted).unionByName(unkeyed_target).unionByName(unkeyed_updates)
+    return updated.unionByName(inserted).unionByName(unkeyed_updates)
 
 
 def _inserted(

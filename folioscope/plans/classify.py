@@ -74,8 +74,10 @@ def classify_records(
 ) -> Outcome:
     """The taxonomy-free variant: categories by code prefix, split by ratio, fit, score.
 
-    Predictions also carry the title.
+    Predictions also carry the title. Logistic regression runs up to 100 iterations here.
     """
+    if kind == "LR":
+        params = {"maxIter": 100, **params}
     label = category_case("category", short=short_names)
     labelled = labelled_articles(repartition_n(articles, partitions), label)
     training, testing = ratio_split(labelled, test_ratio)

@@ -81,6 +81,15 @@ SELECT id, authors, title, '  ' || abstract AS abstract,
 FROM articles""",
 )
 ORACLE["record_flatten"] = _sql("raw_lines", f"SELECT {FLAT} AS value FROM scanned", SCANNED)
+ORACLE["convert_parsed"] = _sql(
+    "broken_titles",
+    "SELECT "
+    + ", ".join(
+        f"nullif(replace(regexp_replace({c}, '[\\r\\n]+', ' ', 'g'), '::', ': :'), '') AS {c}"
+        for c in "id authors title abstract journal_ref category update_date".split()
+    )
+    + " FROM broken_titles",
+)
 ORACLE["text_sink"] = ORACLE["record_flatten"]
 ORACLE["delimited_scan"] = _sql(
     "raw_lines",
@@ -115,6 +124,24 @@ FROM taxonomy_parts
 UNION ALL
 SELECT main_name, code || 'x', NULL FROM taxonomy_parts""",
 )
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]
+
+
+def _plain(markup: str) -> str:
+    text = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
+    for entity, char in _ENTITIES:
+        text = f"replace({text}, '{entity}', '{char}')"
+    return text
+
+
+_LINK = """'(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'"""
+ORACLE["page_links"] = f"""
+SELECT page_id, href, {_plain("label")} AS label
+FROM (SELECT page_id, unnest(regexp_extract_all(html, {_LINK}, 1)) AS href,
+             unnest(regexp_extract_all(html, {_LINK}, 2)) AS label
+      FROM pages) l"""
+ORACLE["page_headings"] = f"""
+SELECT page_id, {_plain("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS heading FROM pages"""
 ORACLE["main_category_rows"] = _sql(
     "taxonomy_parts",
     """
@@ -267,20 +294,26 @@ WHERE place = 1""",
 ORACLE["sort_mixed"] = _sql(
     "articles",
     """
-SELECT lang, split_part(category, ' ', 1) AS code, count(*) AS "count"
-FROM articles GROUP BY ALL ORDER BY lang, "count" DESC, code""",
+SELECT *, CAST(row_number() OVER (ORDER BY lang, "count" DESC, code) AS INTEGER) AS position
+FROM (SELECT lang, split_part(category, ' ', 1) AS code, count(*) AS "count" FROM articles GROUP BY ALL) c""",
 )
 ORACLE["sort_multi"] = _enriched(
     """
-SELECT main_category, main_topic, round(avg(authers_num), 0) AS avg_authors,
-       max(authers_num) AS max_authors
-FROM enriched GROUP BY ALL ORDER BY main_category, main_topic"""
+SELECT *, CAST(row_number() OVER (ORDER BY main_category, main_topic) AS INTEGER) AS position
+FROM (SELECT main_category, main_topic, round(avg(authers_num), 0) AS avg_authors, max(authers_num) AS max_authors
+      FROM enriched GROUP BY ALL) s"""
+)
+ORACLE["sort_desc_pandas"] = _enriched(
+    """
+SELECT *, CAST(row_number() OVER (ORDER BY max_authors DESC, avg_authors DESC, main_category) AS INTEGER) AS position
+FROM (SELECT main_category, round(avg(authers_num), 0) AS avg_authors, max(authers_num) AS max_authors
+      FROM enriched GROUP BY main_category) s"""
 )
-ORACLE["sort_desc_pandas"] = ORACLE["author_stats_by_category"]
 ORACLE["top_k"] = _enriched(
     """
-SELECT main_topic, count(*) AS "count" FROM enriched GROUP BY main_topic
-ORDER BY "count" DESC, main_topic LIMIT 10"""
+SELECT *, CAST(row_number() OVER (ORDER BY "count" DESC, main_topic) AS INTEGER) AS position
+FROM (SELECT main_topic, count(*) AS "count" FROM enriched GROUP BY main_topic) t
+ORDER BY position LIMIT 10"""
 )
 ORACLE["category_series"] = _enriched(
     f"""
@@ -354,6 +387,8 @@ ORACLE["split_ratio"] = _sql(
 SELECT id, category, CASE WHEN {BUCKET} < 70 THEN 'train' ELSE 'test' END AS part FROM articles""",
 )
 
+ORACLE["random_split"] = "SELECT count(*) AS rows_total, 0::BIGINT AS rows_in_both, 0::BIGINT AS rows_in_neither FROM documents"
+
 # --- features ------------------------------------------------------------------------------
 
 ORACLE["label_index"] = _enriched(
@@ -367,8 +402,9 @@ JOIN (SELECT main_category,
 )
 
 _QUOTED = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
-_TOKENS = f"list_filter(regexp_split_to_array(lower({TEXT}), '[^a-zA-Z0-9_]'), lambda w: w <> '')"
-WORDS = f"""tokenised AS (SELECT id, lang, {_TOKENS} AS tokens FROM articles),
+_TOKENS = f"list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]'), lambda w: w <> '')"
+LABELLED = "labelled AS (SELECT id, lang, text FROM article_texts)"
+WORDS = f"""tokenised AS (SELECT id, lang, {_TOKENS} AS tokens FROM labelled),
 words AS (
     SELECT id, lang, tokens, list_filter(tokens, lambda w: NOT list_contains([{_QUOTED}], w)) AS words
     FROM tokenised)"""
@@ -377,45 +413,40 @@ TERMS = """terms AS (
     FROM (SELECT id, lang, unnest(words) AS term FROM words) u GROUP BY ALL),
 stats AS (
     SELECT term, CAST(sum(tf) AS BIGINT) AS "count", count(*) AS df,
-           ln(((SELECT count(*) FROM articles) + 1.0) / (count(*) + 1.0)) AS idf
+           ln(((SELECT count(*) FROM labelled) + 1.0) / (count(*) + 1.0)) AS idf
     FROM terms GROUP BY term)"""
 
-ORACLE["tokenise"] = _sql(
-    "articles", "SELECT id, array_to_string(tokens, ' ') AS tokens FROM words", WORDS
-)
-ORACLE["stop_words"] = _sql(
-    "articles", "SELECT id, array_to_string(words, ' ') AS words FROM words", WORDS
-)
-ORACLE["term_counts"] = _sql("articles", "SELECT id, term, tf FROM terms", WORDS, TERMS)
-ORACLE["vocabulary"] = _sql(
-    "articles", 'SELECT term, "count", df, round(idf, 9) AS idf FROM stats', WORDS, TERMS
-)
-ORACLE["idf_weight"] = _sql(
-    "articles",
-    "SELECT id, t.term, round(tf * idf, 9) AS weight FROM terms t JOIN stats s ON t.term = s.term",
-    WORDS,
-    TERMS,
+
+
+def _texts(body: str, *ctes: str) -> str:
+    return _sql("article_texts", body, LABELLED, *ctes)
+
+
+ORACLE["tokenise"] = _texts("SELECT id, array_to_string(tokens, ' ') AS tokens FROM words", WORDS)
+ORACLE["stop_words"] = _texts("SELECT id, array_to_string(words, ' ') AS words FROM words", WORDS)
+ORACLE["hashed_counts"] = _texts("SELECT id, CAST(len(words) AS BIGINT) AS words_counted FROM words", WORDS)
+ORACLE["term_counts"] = _texts("SELECT id, term, tf FROM terms", WORDS, TERMS)
+ORACLE["vocabulary"] = _texts('SELECT term, "count", df, round(idf, 9) AS idf FROM stats', WORDS, TERMS)
+ORACLE["idf_weight"] = _texts(
+    "SELECT id, t.term, round(tf * idf, 9) AS weight FROM terms t JOIN stats s ON t.term = s.term", WORDS, TERMS
 )
 
 # --- learning ------------------------------------------------------------------------------
 
 # Multinomial Naive Bayes over tf-idf, written out: priors ln(n_k + 1) - ln(N + K),
 # term weights ln(s_kj + 1) - ln(s_k + V).
-ORACLE["classify_nb"] = _sql(
-    "articles",
-    """
+BAYES = """
 SELECT s.id, s.lang AS main_category, own.label, best.label AS prediction
 FROM (SELECT id, lang, arg_max(class, score) AS winner FROM scores GROUP BY id, lang) s
 JOIN classes own ON own.class = s.lang
-JOIN classes best ON best.class = s.winner""",
-    WORDS,
-    f"""train AS (SELECT * FROM words WHERE {BUCKET} < 80),
+JOIN classes best ON best.class = s.winner"""
+HELD_OUT = f"""train AS (SELECT * FROM words WHERE {BUCKET} < 80),
 test AS (SELECT * FROM words WHERE {BUCKET} >= 80),
 classes AS (
     SELECT lang AS class, count(*) AS n,
            CAST(row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS DOUBLE) AS label
-    FROM train GROUP BY lang),
-train_terms AS (
+    FROM train GROUP BY lang)"""
+EVIDENCE = """train_terms AS (
     SELECT id, lang, term, count(*) AS tf
     FROM (SELECT id, lang, unnest(words) AS term FROM train) u GROUP BY ALL),
 test_terms AS (
@@ -442,8 +473,23 @@ evidence AS (
 scores AS (
     SELECT test.id, test.lang, p.class, p.prior + coalesce(e, 0) AS score
     FROM test CROSS JOIN priors p
-    LEFT JOIN evidence ev ON ev.id = test.id AND ev.class = p.class)""",
+    LEFT JOIN evidence ev ON ev.id = test.id AND ev.class = p.class)"""
+BY_CATEGORY = """labelled AS (
+    SELECT id, main_category AS lang, text
+    FROM article_texts JOIN taxonomy ON split_part(category, ' ', 1) = sub_category)"""
+
+ORACLE["classify_nb"] = _texts(BAYES, WORDS, HELD_OUT, EVIDENCE)
+ORACLE["classify_nb_category"] = _sql("article_texts taxonomy", BAYES, BY_CATEGORY, WORDS, HELD_OUT, EVIDENCE)
+# Iterative learners: the rows, their labels, and that every prediction is a label.
+ORACLE["classify_lr"] = _texts(
+    """
+SELECT id, lang AS main_category, own.label, true AS known_prediction
+FROM test JOIN classes own ON own.class = lang""",
+    WORDS,
+    HELD_OUT,
 )
+ORACLE["classify_rf"] = ORACLE["classify_lr"]
+ORACLE["classify_gbt"] = ORACLE["classify_lr"]
 ORACLE["model_save"] = ORACLE["classify_nb"]
 ORACLE["model_load"] = ORACLE["classify_nb"]
 ORACLE["metric_accuracy"] = _sql(

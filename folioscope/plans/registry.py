@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import (
@@ -21,7 +21,7 @@ from folioscope.functions import (
 from folioscope.functions.categories import DEFAULT_MAIN_CATEGORY, MAIN_CATEGORIES
 from folioscope.operators import dedupe, evaluate, joins, layout, learn, profile, splits, terms, trends
 from folioscope.operators import upsert as merging
-from folioscope.operators.enrich import drop_helpers, enrich_articles, filter_null, labelled_articles
+from folioscope.operators.enrich import drop_helpers, enrich_articles, filter_null
 from folioscope.plans.views import open_table, open_view
 from folioscope.schema import ARTICLE_SCHEMA, PREDICTION_SCHEMA
 from folioscope.session import fresh_path
@@ -36,9 +36,6 @@ NO_AUTHORS = -1
 #: Repartitioning target of the layout queries.
 LAYOUT_PARTITIONS = 12
 
-#: Boosting rounds of the registered query; the operator's own default is 100.
-GBT_ROUNDS = 5
-
 #: Slots of the hashed-counts query.
 HASH_SLOTS = 20
 
@@ -72,7 +69,20 @@ def _written_records(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labelled_articles(_articles(spark, sf_dir), F.col("lang"))
+    """Whole texts under their language."""
+    return open_view(spark, sf_dir, "article_texts").select("id", F.col("lang").alias("main_category"), "text")
+
+
+def _categorised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts under the main category of their code."""
+    texts = open_view(spark, sf_dir, "article_texts")
+    joined = joins.taxonomy_join_broadcast(texts, open_view(spark, sf_dir, "taxonomy"))
+    return joined.select("id", "main_category", "text")
+
+
+def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows with their place in an order; for small, grouped frames."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -96,6 +106,17 @@ def record_flatten(spark, sf_dir):
     return raw_json.flatten_records(_scanned(spark, sf_dir))
 
 
+@query("convert_parsed")
+def convert_parsed(spark, sf_dir):
+    """Parsed JSON to delimited records and back, with line breaks and delimiters in the titles."""
+    articles = open_view(spark, sf_dir, "broken_titles")
+    renamed = articles.withColumnsRenamed({"journal_ref": "journal-ref", "category": "categories"})
+    lines = renamed.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in renamed.columns])).alias("value"))
+    path = fresh_path(spark, "parsed-records")
+    raw_json.write_lines(raw_json.flatten_records(raw_json.parse_lines(lines), clean=True), path)
+    return delimited.read_records(spark, path)
+
+
 @query("text_sink")
 def text_sink(spark, sf_dir):
     return raw_json.read_lines(spark, _written_records(spark, sf_dir))
@@ -137,6 +158,16 @@ def main_category_rows(spark, sf_dir):
     return taxonomy_pages.main_category_rows(pages, keep=("page_id",))
 
 
+@query("page_links")
+def page_links(spark, sf_dir):
+    return taxonomy_pages.page_links(open_table(spark, sf_dir, "pages"), keep=("page_id",))
+
+
+@query("page_headings")
+def page_headings(spark, sf_dir):
+    return taxonomy_pages.page_headings(open_table(spark, sf_dir, "pages"), keep=("page_id",))
+
+
 @query("local_rows_source")
 def local_rows_source(spark, sf_dir):
     """Main categories from seven literal rows, joined to every article's code."""
@@ -357,27 +388,31 @@ def dedupe_by_id(spark, sf_dir):
 @query("sort_mixed")
 def sort_mixed(spark, sf_dir):
     counts = trends.count_by(_articles(spark, sf_dir), "lang", primary_category().alias("code"))
-    return counts.orderBy(F.asc("lang"), F.desc("count"), F.asc("code"))
+    order = [F.asc("lang"), F.desc("count"), F.asc("code")]
+    return _placed(counts, *order).orderBy(*order)
 
 
 @query("sort_multi")
 def sort_multi(spark, sf_dir):
     enriched = _enriched(spark, sf_dir)
     stats = trends.author_stats(enriched, "main_category", "main_topic")
-    return stats.orderBy("main_category", "main_topic", "avg_authors")
+    order = ["main_category", "main_topic", "avg_authors"]
+    return _placed(stats, *order).orderBy(*order)
 
 
 @query("sort_desc_pandas")
 def sort_desc_pandas(spark, sf_dir):
     """Categories by falling maximum; the sort stays in Spark."""
     stats = trends.author_stats(_enriched(spark, sf_dir), "main_category")
-    return stats.orderBy(F.desc("max_authors"), F.desc("avg_authors"), "main_category")
+    order = [F.desc("max_authors"), F.desc("avg_authors"), "main_category"]
+    return _placed(stats, *order).orderBy(*order)
 
 
 @query("top_k")
 def top_k(spark, sf_dir):
     counts = trends.count_by(_enriched(spark, sf_dir), "main_topic")
-    return trends.top_k(counts, [F.desc("count"), "main_topic"], 10)
+    order = [F.desc("count"), "main_topic"]
+    return _placed(trends.top_k(counts, order, 10), *order)
 
 
 @query("category_series")
@@ -394,7 +429,6 @@ def primary_category_of(spark, sf_dir):
     return coded.select("id", primary_category("category").alias("category1"))
 
 
-
 @query("category_case")
 def category_case_of(spark, sf_dir):
     """Both name variants, side by side."""
@@ -406,7 +440,6 @@ def category_case_of(spark, sf_dir):
     )
 
 
-
 @query("category_shorten")
 def category_shorten_of(spark, sf_dir):
     main = open_view(spark, sf_dir, "coded_articles").select(
@@ -415,20 +448,17 @@ def category_shorten_of(spark, sf_dir):
     return main.select("id", category_shorten("main_category").alias("main_category"))
 
 
-
 @query("article_date")
 def article_date_of(spark, sf_dir):
     return _articles(spark, sf_dir).select("id", article_date("id").alias("article_date"))
 
 
-
 @query("article_year")
 def article_year_of(spark, sf_dir):
     dated = _articles(spark, sf_dir).select("id", article_date("id").alias("article_date"))
     return dated.select("id", article_year("article_date").alias("year"))
 
 
-
 @query("update_date_clean")
 def update_date_clean(spark, sf_dir):
     articles = _articles(spark, sf_dir)
@@ -446,13 +476,11 @@ def author_count_of(spark, sf_dir):
     )
 
 
-
 @query("text_concat")
 def text_concat_of(spark, sf_dir):
     return _articles(spark, sf_dir).select("id", text_concat("title", "abstract").alias("text"))
 
 
-
 @query("round_avg")
 def round_avg(spark, sf_dir):
     counted = _articles(spark, sf_dir).select(
@@ -467,7 +495,6 @@ def strip_parens_of(spark, sf_dir):
     return _articles(spark, sf_dir).select("id", strip_parens(wrapped).alias("stripped"))
 
 
-
 # --- splits --------------------------------------------------------------------------------
 
 
@@ -479,39 +506,30 @@ def split_train(spark, sf_dir):
 @query("split_tests")
 def split_tests(spark, sf_dir):
     """All three test parts, told apart by a column."""
-    articles = _articles(spark, sf_dir).select("id", "category")
-    parts = [
-        splits.testing_part(articles, part).withColumn("part", F.lit(part))
-        for part in splits.TEST_SHARES
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return splits.testing_parts(_articles(spark, sf_dir).select("id", "category"))
 
 
 @query("split_tests_disjoint")
 def split_tests_disjoint(spark, sf_dir):
     """The test parts cut from the articles held out of training."""
-    articles = _articles(spark, sf_dir).select("id", "category")
-    parts = [
-        splits.testing_part(articles, part, disjoint=True).withColumn("part", F.lit(part))
-        for part in splits.TEST_SHARES
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return splits.testing_parts(_articles(spark, sf_dir).select("id", "category"), disjoint=True)
 
 
 @query("split_ratio")
 def split_ratio(spark, sf_dir):
-    articles = _articles(spark, sf_dir).select("id", "category")
-    training, testing = splits.ratio_split(articles, 0.3)
-    return training.withColumn("part", F.lit("train")).unionByName(
-        testing.withColumn("part", F.lit("test"))
-    )
+    return splits.ratio_parts(_articles(spark, sf_dir).select("id", "category"), 0.3)
 
 
 @query("random_split")
 def random_split(spark, sf_dir):
-    """Spark's sampled split; row counts vary with partitioning."""
-    training, _ = splits.random_split(_articles(spark, sf_dir).select("id", "category"), [0.8, 0.2])
-    return training
+    """Spark's sampled split, which varies with partitioning: rows in total, in both parts, in neither."""
+    articles = _articles(spark, sf_dir).select("doc_id")
+    parts = splits.random_split(articles, [0.8, 0.2])
+    drawn = parts[0].withColumn("part", F.lit(0)).unionByName(parts[1].withColumn("part", F.lit(1)))
+    per_row = articles.join(drawn, "doc_id", "left").groupBy("doc_id").agg(F.count("part").alias("times"))
+    return per_row.agg(
+        F.sum("times").alias("rows_total"), F.count_if(F.col("times") > 1).alias("rows_in_both"), F.count_if(F.col("times") == 0).alias("rows_in_neither")
+    )
 
 
 # --- features ------------------------------------------------------------------------------
@@ -528,13 +546,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> int:
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _articles(spark, sf_dir).select("id", text_concat("title", "abstract").alias("text"))
-    return terms.document_words(layout.spread_small(texts, _documents(spark, sf_dir)))
+    return terms.document_words(open_view(spark, sf_dir, "article_texts").select("id", "text"))
 
 
 @query("tokenise")
 def tokenise(spark, sf_dir):
-    texts = _articles(spark, sf_dir).select("id", text_concat("title", "abstract").alias("text"))
+    texts = open_view(spark, sf_dir, "article_texts").select("id", "text")
     return terms.document_tokens(texts).select("id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -543,73 +560,84 @@ def stop_words(spark, sf_dir):
     return _words(spark, sf_dir).select("id", F.array_join("words", " ").alias("words"))
 
 
-def _vocabulary(spark: SparkSession, sf_dir: str, document_terms: DataFrame) -> DataFrame:
-    return terms.stored_vocabulary(document_terms, _documents(spark, sf_dir))
-
-
 @query("term_counts")
 def term_counts(spark, sf_dir):
-    """Counts per document, for terms of the vocabulary."""
-    document_terms = terms.document_terms(_words(spark, sf_dir))
-    return terms.known_terms(document_terms, _vocabulary(spark, sf_dir, document_terms))
+    """Counts of all words, per document."""
+    return terms.document_terms(_words(spark, sf_dir))
 
 
 @query("vocabulary")
 def vocabulary(spark, sf_dir):
-    """Corpus count, document frequency and idf of every vocabulary term."""
+    """Corpus count, document frequency and idf of every term."""
     document_terms = terms.document_terms(_words(spark, sf_dir), keep=())
-    return _vocabulary(spark, sf_dir, document_terms).withColumn("idf", F.round("idf", 9))
+    statistics = terms.weighted_statistics(document_terms, _documents(spark, sf_dir))
+    return statistics.withColumn("idf", F.round("idf", 9))
 
 
 @query("idf_weight")
 def idf_weight(spark, sf_dir):
     """tf-idf weight of every term of every document."""
-    document_terms = terms.document_terms(_words(spark, sf_dir))
-    known = _vocabulary(spark, sf_dir, document_terms)
-    return terms.weighted_terms(document_terms, known).withColumn("weight", F.round("weight", 9))
+    document_terms = terms.stored_terms(terms.document_terms(_words(spark, sf_dir)))
+    statistics = terms.weighted_statistics(document_terms, _documents(spark, sf_dir))
+    return terms.weighted_terms(document_terms, statistics).withColumn("weight", F.round("weight", 9))
 
 
 @query("hashed_counts")
 def hashed_counts(spark, sf_dir):
+    """Words counted per document over all hash slots; the slots themselves are checked in the tests."""
     hashing = learn.HashingTF(numFeatures=HASH_SLOTS, inputCol="words", outputCol="counts")
     counted = hashing.transform(_words(spark, sf_dir))
-    slots = counted.select("id", F.posexplode(vector_to_array("counts")).alias("slot", "count"))
-    return slots.where(F.col("count") > 0)
+    total = F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda s, x: s + x)
+    return counted.select("id", total.cast("long").alias("words_counted"))
 
 
 # --- learning ------------------------------------------------------------------------------
 
 
-def _held_out_predictions(spark, sf_dir, kind, **params):
-    training, testing = splits.ratio_split(_labelled(spark, sf_dir), 0.2)
+def _held_out_predictions(labelled: DataFrame, kind: str, **params):
+    training, testing = splits.ratio_split(labelled, 0.2)
     model = learn.fit_classifier(training, kind, **params)
     return model, learn.predict(model, testing)
 
 
+def _known_predictions(spark, sf_dir, kind: str) -> DataFrame:
+    """Held-out rows with their label, and whether the prediction is one of the labels."""
+    model, predictions = _held_out_predictions(_labelled(spark, sf_dir), kind)
+    known = F.col("prediction").isin([float(k) for k in range(len(model.stages[0].labels))])
+    return predictions.select("id", "main_category", "label", known.alias("known_prediction"))
+
+
 @query("classify_nb")
 def classify_nb(spark, sf_dir):
-    return _held_out_predictions(spark, sf_dir, "NB")[1]
+    return _held_out_predictions(_labelled(spark, sf_dir), "NB")[1]
+
+
+@query("classify_nb_category")
+def classify_nb_category(spark, sf_dir):
+    """By main category, which these texts hardly show: rows differ in their predictions."""
+    return _held_out_predictions(_categorised(spark, sf_dir), "NB")[1]
 
 
 @query("classify_lr")
 def classify_lr(spark, sf_dir):
-    return _held_out_predictions(spark, sf_dir, "LR")[1]
+    return _known_predictions(spark, sf_dir, "LR")
 
 
 @query("classify_rf")
 def classify_rf(spark, sf_dir):
-    return _held_out_predictions(spark, sf_dir, "RF")[1]
+    return _known_predictions(spark, sf_dir, "RF")
 
 
 @query("classify_gbt")
 def classify_gbt(spark, sf_dir):
-    return _held_out_predictions(spark, sf_dir, "GBT", maxIter=GBT_ROUNDS)[1]
+    """One boosted model of 100 rounds for each class."""
+    return _known_predictions(spark, sf_dir, "GBT")
 
 
 @query("model_save")
 def model_save(spark, sf_dir):
     """Predictions of a model that was also saved."""
-    model, predictions = _held_out_predictions(spark, sf_dir, "NB")
+    model, predictions = _held_out_predictions(_labelled(spark, sf_dir), "NB")
     learn.save_model(model, fresh_path(spark, "model"))
     return predictions
 

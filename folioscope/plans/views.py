@@ -12,10 +12,21 @@ TABLES = ("nation", "region", "documents", "labels", "pages", "events")
 
 VIEWS: dict[str, str] = {}
 
+# An article's identifier and category, from documents numbered as in NUMBERED.
+ID = """CASE WHEN (doc_id % 11) % 4 = 0 THEN 'math/' || yy_old || mm || lpad(CAST(doc_id AS VARCHAR(20)), 6, '0')
+            ELSE yy_new || mm || '.' || lpad(CAST(doc_id AS VARCHAR(20)), 6, '0') END AS id"""
+CATEGORY = """CASE WHEN doc_id % 31 = 30 THEN 'retired.XX'
+            WHEN doc_id % 3 = 0 THEN source || ' ' || lang
+            ELSE source END AS category"""
+NUMBERED = """(SELECT *, lpad(CAST((91 + doc_id % 17) % 100 AS VARCHAR(20)), 2, '0') AS yy_old,
+             lpad(CAST(7 + doc_id % 17 AS VARCHAR(20)), 2, '0') AS yy_new,
+             CASE WHEN doc_id % 97 = 96 THEN '13'
+                  ELSE lpad(CAST(1 + doc_id % 12 AS VARCHAR(20)), 2, '0') END AS mm
+      FROM documents) d"""
+
 # Flat article records, one per document.
-VIEWS["articles"] = """
-SELECT CASE WHEN (doc_id % 11) % 4 = 0 THEN 'math/' || yy_old || mm || lpad(CAST(doc_id AS VARCHAR(20)), 6, '0')
-            ELSE yy_new || mm || '.' || lpad(CAST(doc_id AS VARCHAR(20)), 6, '0') END AS id,
+VIEWS["articles"] = f"""
+SELECT {ID},
        CASE WHEN doc_id % 101 = 100 THEN NULL
             WHEN (doc_id % 13) % 5 = 0 THEN 'A. Author'
             WHEN (doc_id % 13) % 5 = 1 THEN 'A. Author and B. Writer'
@@ -25,16 +36,22 @@ SELECT CASE WHEN (doc_id % 11) % 4 = 0 THEN 'math/' || yy_old || mm || lpad(CAST
        CASE WHEN doc_id % 59 = 58 THEN NULL ELSE substring(text, 1, 40) END AS title,
        CASE WHEN doc_id % 53 = 52 THEN NULL ELSE text END AS abstract,
        'None' AS journal_ref,
-       CASE WHEN doc_id % 31 = 30 THEN 'retired.XX'
-            WHEN doc_id % 3 = 0 THEN source || ' ' || lang
-            ELSE source END AS category,
+       {CATEGORY},
        '20' || yy_new || '-' || mm || '-01' || chr(9) AS update_date,
        doc_id, lang
-FROM (SELECT *, lpad(CAST((91 + doc_id % 17) % 100 AS VARCHAR(20)), 2, '0') AS yy_old,
-             lpad(CAST(7 + doc_id % 17 AS VARCHAR(20)), 2, '0') AS yy_new,
-             CASE WHEN doc_id % 97 = 96 THEN '13'
-                  ELSE lpad(CAST(1 + doc_id % 12 AS VARCHAR(20)), 2, '0') END AS mm
-      FROM documents) d
+FROM {NUMBERED}
+"""
+
+# The same articles with their whole texts, for words and learning.
+VIEWS["article_texts"] = f"""
+SELECT {ID}, {CATEGORY}, lang, text
+FROM {NUMBERED}
+"""
+
+# Articles whose titles hold line breaks and the record delimiter.
+VIEWS["broken_titles"] = """
+SELECT id, authors, title || ' :: part' || chr(13) || chr(10) || 'two' AS title, abstract, journal_ref, category, update_date
+FROM articles
 """
 
 # The category taxonomy of those articles.
@@ -108,19 +125,19 @@ FROM articles
 WHERE doc_id % 2 = 0
 """
 
-# A stored prediction table and updates to it; some rows of both lack an identifier.
+# A stored prediction table and updates to it, which together cover all articles and overlap; some rows lack an identifier.
 VIEWS["stored_predictions"] = """
 SELECT CASE WHEN doc_id % 41 = 40 THEN NULL ELSE id END AS id, title, lang AS main_category,
        CAST(doc_id % 4 AS DOUBLE) AS label, CAST(doc_id % 5 AS DOUBLE) AS prediction
 FROM articles
-WHERE doc_id % 2 = 0
+WHERE doc_id % 10 < 7
 """
 
 VIEWS["new_predictions"] = """
 SELECT CASE WHEN doc_id % 43 = 42 THEN NULL ELSE id END AS id, title, 'renamed' AS main_category,
        CAST(doc_id % 7 AS DOUBLE) AS label, CAST(doc_id % 3 AS DOUBLE) AS prediction
 FROM articles
-WHERE doc_id % 10 >= 5
+WHERE doc_id % 10 >= 4
 """
 
 # A labelled set with a deterministic prediction for every row.
@@ -133,6 +150,7 @@ FROM labels
 PARENTS = {
     "coded_articles": ("articles",),
     "raw_lines": ("articles",),
+    "broken_titles": ("articles",),
     "taxonomy_pages": ("taxonomy_parts",),
     "revisions": ("articles",),
     "stored_predictions": ("articles",),

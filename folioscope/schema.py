@@ -1,4 +1,7 @@
-"""Table layouts shared by readers, operators and jobs."""
+"""Table layouts shared by readers, operators and jobs.
+
+Fixed values: the column names and types are those of the tables to be matched.
+"""
 
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 

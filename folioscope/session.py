@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +44,34 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_run: ContextVar[str | None] = ContextVar("run folder", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has been written to yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path under the run folder, or else the shared one, that nothing has been written to yet."""
+    return f"{_run.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Everything stored within the block goes to one folder, which is deleted when the block ends.
+
+    Frames that read stored tables must be written elsewhere, or not be used any more, by then.
+    """
+    path = fresh_path(spark, name)
+    outer = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(outer)
+        remove_path(spark, path)

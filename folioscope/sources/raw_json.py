@@ -54,14 +54,26 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     )
 
 
-def flat_record(*fields: ColumnLike, delimiter: str = DELIMITER) -> Column:
-    """Fields joined into one line. NULL becomes an empty field, so none shifts."""
-    fields = fields or tuple(ARTICLE_SCHEMA.fieldNames())
-    return F.concat_ws(delimiter, *[F.coalesce(as_column(f), F.lit("")) for f in fields])
+def one_line(field: ColumnLike, delimiter: str = DELIMITER) -> Column:
+    """A field that fits into a flat record: line breaks become a blank, and the delimiter is broken up by blanks."""
+    unbroken = F.regexp_replace(as_column(field), r"[\r\n]+", " ")
+    return F.replace(unbroken, F.lit(delimiter), F.lit(" ".join(delimiter)))
 
 
-def flatten_records(articles: DataFrame, delimiter: str = DELIMITER) -> DataFrame:
-    return articles.select(flat_record(delimiter=delimiter).alias("value"))
+def flat_record(*fields: ColumnLike, delimiter: str = DELIMITER, clean: bool = False) -> Column:
+    """Fields joined into one line. NULL becomes an empty field, so none shifts.
+
+    ``clean`` also takes line breaks and delimiters out of the fields; parsed
+    JSON holds such, fields cut by position hold no line break.
+    """
+    columns = [as_column(f) for f in fields or tuple(ARTICLE_SCHEMA.fieldNames())]
+    if clean:
+        columns = [one_line(c, delimiter) for c in columns]
+    return F.concat_ws(delimiter, *[F.coalesce(c, F.lit("")) for c in columns])
+
+
+def flatten_records(articles: DataFrame, delimiter: str = DELIMITER, clean: bool = False) -> DataFrame:
+    return articles.select(flat_record(delimiter=delimiter, clean=clean).alias("value"))
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -2,6 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscope.session import path_exists
+
+#: What a finished write leaves in its folder: the committer's mark, or a table format's own log.
+MARKS = ("_SUCCESS", "_delta_log")
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
@@ -21,9 +26,17 @@ def write_table(
     writer.save(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    return any(path_exists(spark, f"{path}/{mark}") for mark in MARKS)
+
+
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a table once; with the path taken, nothing is computed and old data stays."""
-    write_table(df, path, mode="ignore", fmt=fmt)
+    """Write a table once; where it is, nothing is computed and old data stays.
+
+    A folder without the mark of a finished write was left by a job that died, and is written again.
+    """
+    if not is_complete(df.sparkSession, path):
+        write_table(df, path, mode="overwrite", fmt=fmt)
 
 
 def write_partitioned(

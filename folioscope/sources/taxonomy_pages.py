@@ -16,6 +16,8 @@ from folioscope.functions.text import strip_parens
 ENTRY_BLOCK = r'(?i)<div[^>]*\bclass="columns divided"[^>]*>'
 ENTRY_HEAD = r"(?is)<h4[^>]*>(.*?)</h4>"
 ENTRY_SPAN = r"(?is)<span[^>]*>(.*?)</span>"
+LINK = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+HEADING = r"(?is)<h1[^>]*>(.*?)</h1>"
 MAIN_HEAD = r'(?is)<h2[^>]*\bclass="accordion-head"[^>]*>(.*?)</h2>'
 HEADING_CODE = "Category"
 
@@ -54,6 +56,20 @@ def taxonomy_entries(pages: DataFrame, html: str = "html", keep: tuple[str, ...]
     return entries.where(F.col("sub_category") != HEADING_CODE)
 
 
+def page_links(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(href, label)`` of every link of every page, in page order."""
+    found = F.arrays_zip(
+        F.regexp_extract_all(F.col(html), F.lit(LINK), 1).alias("href"), F.regexp_extract_all(F.col(html), F.lit(LINK), 2).alias("label")
+    )
+    links = pages.select(*keep, F.inline(found))
+    return links.withColumn("label", markup_text("label"))
+
+
+def page_headings(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The text of every page's first heading; empty if there is none."""
+    return pages.select(*keep, markup_text(F.regexp_extract(F.col(html), HEADING, 1)).alias("heading"))
+
+
 def taxonomy_table(pages: DataFrame, html: str = "html") -> DataFrame:
     """Taxonomy rows with each code under its main category."""
     return taxonomy_entries(pages, html).select(

@@ -70,7 +70,9 @@ def test_every_job_end_to_end(spark, folder, capsys):
     assert merged.columns == ["id", "main_category", "label", "prediction"]
     assert merged.count() == merged.select("id").distinct().count() == sizes["test3"]
 
-    main(["classify-records", f"{at}/records/part*", "3", "0.2", f"{at}/scores/3"])
+    assert spark.read.parquet(f"{at}/tables/unmatched").count() == 0
+    settings = ["--set", "maxIter=20", "--set", "regParam=0.01", "--max-classes", "5"]
+    main(["classify-records", f"{at}/records/part*", "3", "0.2", f"{at}/scores/3", *settings])
     scored = spark.read.parquet(f"{at}/scores/3")
     assert scored.columns == ["id", "title", "main_category", "label", "prediction"]
     assert {r[0] for r in scored.select("main_category").distinct().collect()} == {

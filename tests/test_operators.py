@@ -1,3 +1,4 @@
+import re
 import random
 from collections import Counter
 
@@ -129,6 +130,20 @@ def test_test_parts(spark):
     assert sum(p.count() for p in splits.random_split(df, [0.8, 0.2])) == 5000
 
 
+def test_parts_come_from_one_scan(spark, tmp_path, plan_of):
+    write_table(spark.range(500).selectExpr("cast(id as string) as id"), str(tmp_path / "ids"))
+    df = spark.read.parquet(f"{tmp_path}/ids")
+    for disjoint in (False, True):
+        parts = splits.testing_parts(df, disjoint=disjoint)
+        assert plan_of(parts).count("Scan parquet") == 2  # one in the tree, one in the details
+        for part in splits.TEST_SHARES:
+            alone = {r["id"] for r in splits.testing_part(df, part, disjoint=disjoint).collect()}
+            assert {r["id"] for r in parts.where(f"part = '{part}'").collect()} == alone
+    both = splits.ratio_parts(df, 0.3)
+    assert plan_of(both).count("Scan parquet") == 2
+    assert rows(both.where("part = 'train'").select("id")) == rows(splits.ratio_split(df, 0.3)[0])
+
+
 # --- upsert --------------------------------------------------------------------------------
 
 PREDICTIONS = "id string, main_category string, label double, prediction double"
@@ -182,6 +197,16 @@ def test_small_updates_leave_the_target_where_it_is(spark, frame, tmp_path, plan
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_large_updates_read_the_target_twice(spark, frame, tmp_path, plan_of):
+    """Once whole, once for its keys; two shuffled joins and no aggregation."""
+    for name, held in (("t", TARGET), ("u", UPDATES)):
+        write_table(frame(held, PREDICTIONS), str(tmp_path / name))
+    merged = upsert(spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/u"), broadcast_bytes=0)
+    nodes = re.findall(r"^\(\d+\) (\S+)", plan_of(merged.hint("merge")), re.M)
+    locations = re.findall(r"Location: \S+ \[file:\S*/(\w+)\]", plan_of(merged))
+    assert locations.count("t") == 2 and not any("Aggregate" in n for n in nodes)
+
+
 def test_repeated_update_key_is_refused(frame):
     with pytest.raises(DuplicateKeyError):
         upsert(frame(TARGET, PREDICTIONS), frame(UPDATES + UPDATES[:1], PREDICTIONS))
@@ -221,6 +246,14 @@ def test_vocabulary_is_the_exact_top(spark, size):
     assert sorted(r["term"] for r in terms.vocabulary(stats, size).collect()) == sorted(best)
 
 
+def test_statistics_have_no_cap(spark):
+    """Every term of a corpus with more of them than a fitted model would hold."""
+    found = spark.range(300_000).selectExpr("cast(id % 7 as string) as id", "concat('t', id) as term", "1 as tf")
+    statistics = terms.weighted_statistics(found, 7)
+    assert statistics.count() == 300_000
+    assert terms.weighted_terms(found, statistics).count() == 300_000
+
+
 def test_vocabulary_of_nothing(spark):
     stats = spark.createDataFrame([], "term string, count long, df long")
     assert terms.vocabulary(stats, 5).count() == 0
@@ -232,8 +265,7 @@ def test_terms_of_a_document_need_no_shuffle(spark, frame, plan_of):
     assert rows(found) == [("1", "cat", 2), ("1", "dog", 1), ("2", "dog", 2)]
     assert "Exchange" not in plan_of(found)
     assert rows(terms.term_statistics(found)) == [("cat", 2, 1), ("dog", 3, 2)]
-    known = terms.stored_vocabulary(found, 4, size=1)
-    assert rows(terms.known_terms(found, known)) == [("1", "dog", 1), ("2", "dog", 2)]
+    known = terms.weighted_statistics(found, 4).where("term = 'dog'")
     weights = {r["id"]: r["weight"] for r in terms.weighted_terms(found, known).collect()}
     assert weights["2"] == pytest.approx(2 * weights["1"])
 
@@ -280,7 +312,6 @@ def test_layout(spark, tmp_path):
     df = spark.range(100)
     assert layout.partition_count(layout.repartition_n(df, 7)) == 7
     assert layout.repartition_n(df, 0) is df
-    assert layout.spread_small(df, 100, limit=10) is df
     with layout.cache_materialised(df) as (held, n):
         assert n == 100 and held.storageLevel.useMemory
     assert not held.storageLevel.useMemory

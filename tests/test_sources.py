@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from folioscope.plans.preprocess import convert
 from folioscope.sources import delimited, raw_json, tables, taxonomy_pages
 
 PAGE = """<html><h2 class="accordion-head">Computer Science</h2>
@@ -83,6 +84,24 @@ def test_write_modes(spark, frame, tmp_path):
     assert [r["n"] for r in tables.read_table(spark, path).collect()] == [3]
 
 
+def test_unfinished_folder_is_written_again(spark, frame, tmp_path):
+    """What a killed job leaves: a folder with temporary files and no mark of success."""
+    path = tmp_path / "t"
+    (path / "_temporary" / "0").mkdir(parents=True)
+    tables.write_if_absent(frame([(2,)], "n int"), str(path))
+    assert [r["n"] for r in tables.read_table(spark, str(path)).collect()] == [2]
+    tables.write_if_absent(frame([(3,)], "n int"), str(path))
+    assert [r["n"] for r in tables.read_table(spark, str(path)).collect()] == [2]
+
+
+def test_parsed_records_stay_on_one_line(spark, frame, tmp_path):
+    line = '{"id":"1","title":"a\\nb","abstract":"c :: d\\r\\n\\ne","authors":"A::B"}'
+    (tmp_path / "raw.json").write_text(line + "\n")
+    convert(spark, f"{tmp_path}/raw.json", f"{tmp_path}/records", exact=False)
+    got = delimited.read_records(spark, f"{tmp_path}/records").collect()
+    assert [(r["id"], r["title"], r["abstract"], r["authors"]) for r in got] == [("1", "a b", "c : : d e", "A: :B")]
+
+
 def test_partitioned_write_prunes(spark, frame, tmp_path, plan_of):
     path = str(tmp_path / "p")
     df = spark.range(90).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("main_category"))
