@@ -3,9 +3,11 @@
 Method: items are cut into chunks of at most CHUNK words. The index holds, for each term, the chunks with that term and their BM25
 weights, as shares of the chunk's weight of all its terms; so a passage's score is the share of a chunk's BM25 mass
 that the passage holds. Postings lie in blocks that know their highest weight. Passages are all windows of 2 * CHUNK words
-that begin at multiples of CHUNK, so each run of CHUNK words lies wholly in one. A passage whose terms' highest weights do not
-reach the threshold is passed over; any other runs through block-max WAND, which skips blocks that cannot lift a chunk to the
-threshold and gives every chunk at or above it, none left out. An item so found is verified around the passage: the question's and the
+that begin at multiples of CHUNK, so each run of CHUNK words lies wholly in one. An upper bound is taken for all passages of a batch
+at once: frequent terms, as far as they make up at most half the threshold of any chunk, count as if all were there, and only
+the others' postings are added up. A passage that no chunk's bound lets reach the threshold is passed over; any other runs
+through block-max WAND, which skips blocks that cannot lift a chunk to the threshold and gives every chunk at or above it, none
+left out. An item so found is verified around the passage: the question's and the
 answer's share of word pairs that stand there must reach VERIFIED each. The answer is what follows "answer:", else the last line
 or sentence, else the last third of the words.
 
@@ -16,8 +18,10 @@ pass through; one with the name of the output is replaced.
 """
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +47,7 @@ K1, B = 1.2, 0.75
 BLOCK = 32
 
 #: Bytes of item text whose index is broadcast at once.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 LEAK = (
     StructType().add("item_id", LongType()).add("score", DoubleType()).add("question_overlap", DoubleType()).add("answer_overlap", DoubleType())
@@ -88,13 +92,10 @@ def overlap(part: list[bytes], region: list[bytes]) -> float:
 
 @dataclass
 class Postings:
-    chunks: np.ndarray
-    weights: np.ndarray
-    block_max: np.ndarray
-
-    @property
-    def most(self) -> float:
-        return float(self.block_max.max())
+    chunks: list[int]
+    weights: list[float]
+    block_max: list[float]
+    most: float
 
 
 class Index:
@@ -119,22 +120,45 @@ class Index:
         self.postings = []
         for term in self.terms:
             found = sorted(held[term])
-            at = np.array([c for c, _ in found])
-            share = np.array([w for _, w in found]) / whole[at]
-            blocks = np.maximum.reduceat(share, np.arange(0, len(share), BLOCK))
-            self.postings.append(Postings(at, share, blocks))
-        self.most = np.array([p.most for p in self.postings])
+            at = [c for c, _ in found]
+            share = [float(w / whole[c]) for c, w in found]
+            blocks = [max(share[i : i + BLOCK]) for i in range(0, len(share), BLOCK)]
+            self.postings.append(Postings(at, share, blocks, max(blocks)))
+        # frequent terms are taken for granted while every chunk keeps half the threshold for the others
+        granted, frequent = np.zeros(len(names)), np.zeros(len(self.postings), bool)
+        for t in sorted(range(len(self.postings)), key=lambda t: -len(self.postings[t].chunks)):
+            own = self.postings[t]
+            if (granted[own.chunks] + np.array(own.weights) <= THRESHOLD / 2).all():
+                granted[own.chunks] += own.weights
+                frequent[t] = True
+        self.needed = THRESHOLD - granted
+        counts = np.array([0 if frequent[t] else len(p.chunks) for t, p in enumerate(self.postings)], np.int64)
+        self.count, self.first = counts, np.cumsum(counts) - counts
+        rest = [p for t, p in enumerate(self.postings) if not frequent[t]]
+        self.rest_chunks = np.array([c for p in rest for c in p.chunks], np.int64)
+        self.rest_weights = np.array([w for p in rest for w in p.weights], np.float64)
         self.parts = {item: question_and_answer(text) for item, text in items}
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: every chunk whose weights for these terms add up to the threshold, and the sum."""
         lists = [self.postings[t] for t in terms]
         cursor = [0] * len(lists)
+        head = [p.chunks[0] for p in lists]  # the chunk at each list's cursor
         out = []
         threshold -= 1e-12
         live = list(range(len(lists)))
+
+        def forward(i: int, to: int) -> bool:
+            """Move a list to the first chunk from ``to`` on; false at its end."""
+            chunks = lists[i].chunks
+            cursor[i] = bisect_left(chunks, to, cursor[i])
+            if cursor[i] < len(chunks):
+                head[i] = chunks[cursor[i]]
+                return True
+            return False
+
         while live:
-            live.sort(key=lambda i: lists[i].chunks[cursor[i]])
+            live.sort(key=head.__getitem__)
             bound, pivot = 0.0, -1
             for k, i in enumerate(live):
                 bound += lists[i].most
@@ -143,35 +167,38 @@ class Index:
                     break
             if pivot < 0:
                 return out
-            target = lists[live[pivot]].chunks[cursor[live[pivot]]]
-            while pivot + 1 < len(live) and lists[live[pivot + 1]].chunks[cursor[live[pivot + 1]]] == target:
+            target = head[live[pivot]]
+            while pivot + 1 < len(live) and head[live[pivot + 1]] == target:
                 pivot += 1
-            upper = 0.0
-            for i in live[: pivot + 1]:  # what the blocks that hold the target can give
-                cursor[i] += int(np.searchsorted(lists[i].chunks[cursor[i] :], target))
-                if cursor[i] < len(lists[i].chunks):
-                    upper += lists[i].block_max[cursor[i] // BLOCK]
-            if upper >= threshold:
-                score = sum(
-                    lists[i].weights[cursor[i]]
-                    for i in live[: pivot + 1]
-                    if cursor[i] < len(lists[i].chunks) and lists[i].chunks[cursor[i]] == target
-                )
+            before, after = live[: pivot + 1], live[pivot + 1 :]
+            before = [i for i in before if head[i] == target or forward(i, target)]
+            # what the blocks that hold the target can give
+            if sum(lists[i].block_max[cursor[i] // BLOCK] for i in before) >= threshold:
+                score = sum(lists[i].weights[cursor[i]] for i in before if head[i] == target)
                 if score >= threshold:
-                    out.append((int(target), float(score)))
+                    out.append((target, score))
                 beyond = target + 1
             else:
                 # nothing up to the nearest end of these blocks, or the next list's chunk, can reach the threshold
-                ends = [lists[i].chunks[min(len(lists[i].chunks), (cursor[i] // BLOCK + 1) * BLOCK) - 1] + 1 for i in live[: pivot + 1] if cursor[i] < len(lists[i].chunks)]
-                if pivot + 1 < len(live):
-                    ends.append(lists[live[pivot + 1]].chunks[cursor[live[pivot + 1]]])
+                ends = [lists[i].chunks[min(len(lists[i].chunks), (cursor[i] // BLOCK + 1) * BLOCK) - 1] + 1 for i in before]
+                ends += [head[after[0]]] if after else []
                 beyond = max(target + 1, min(ends, default=target + 1))
-            for i in live[: pivot + 1]:
-                if cursor[i] < len(lists[i].chunks) and lists[i].chunks[cursor[i]] < beyond:
-                    cursor[i] += int(np.searchsorted(lists[i].chunks[cursor[i] :], beyond))
-            live = [i for i in live if cursor[i] < len(lists[i].chunks)]
+            live = [i for i in before if head[i] >= beyond or forward(i, beyond)] + after
         return out
 
+    def candidates(self, bucket: np.ndarray, term: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """Windows (named by their first bucket) in which some chunk's upper bound reaches the threshold."""
+        count = self.count[term]
+        at = np.repeat(self.first[term] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        owner, chunk, weight = np.repeat(bucket, count), self.rest_chunks[at], self.rest_weights[at]
+        # a bucket counts for its own window, and for that of the bucket before it in the same text
+        earlier = (owner > 0) & follows[owner - 1]
+        name = np.concatenate([owner, owner[earlier] - 1]) * len(self.needed) + np.concatenate([chunk, chunk[earlier]])
+        name, inverse = np.unique(name, return_inverse=True)
+        bound = np.bincount(inverse, np.concatenate([weight, weight[earlier]]), minlength=len(name))
+        window, chunk = np.divmod(name, len(self.needed))
+        return np.unique(window[bound >= self.needed[chunk] - 1e-9])
+
     def leaks(self, texts: list[bytes]) -> list[list[dict]]:
         words, sizes = [], []
         for text in texts:
@@ -182,7 +209,7 @@ class Index:
         if not words or not self.terms:
             return [[] for _ in texts]
         get = self.terms.get
-        index = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        index = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         sizes = np.array(sizes)
         starts = np.cumsum(sizes) - sizes
         buckets = -(-sizes // CHUNK)
@@ -193,15 +220,11 @@ class Index:
         codes = np.unique(bucket * len(self.terms) + index[where])
         bucket, term = np.divmod(codes, len(self.terms))
         n = int(buckets.sum())
-        bound = np.bincount(bucket, self.most[term], minlength=n + 1)
         text_of = np.repeat(np.arange(len(texts)), buckets)
         follows = np.append(text_of[1:] == text_of[:-1], False)
-        window = bound[:n] + np.where(follows, bound[1 : n + 1], 0.0)
         edges = np.searchsorted(bucket, np.arange(n + 2))
-        for b in np.flatnonzero(window >= THRESHOLD).tolist():
+        for b in self.candidates(bucket, term, follows).tolist():
             terms = np.unique(term[edges[b] : edges[b + 2 if follows[b] else b + 1]])
-            if self.most[terms].sum() < THRESHOLD:
-                continue
             doc = int(text_of[b])
             for chunk, score in self.search(terms.tolist(), THRESHOLD):
                 item = self.item_of[chunk]

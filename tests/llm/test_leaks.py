@@ -33,7 +33,7 @@ def test_wand_finds_all_above_the_threshold(block, monkeypatch):
         terms = rng.sample(range(len(index.terms)), rng.randrange(1, 25))
         score = np.zeros(300)
         for t in terms:
-            score[index.postings[t].chunks] += index.postings[t].weights
+            score[index.postings[t].chunks] += np.array(index.postings[t].weights)
         threshold = rng.choice([0.2, 0.4, 0.6, 0.9])
         want = {i: score[i] for i in np.flatnonzero(score >= threshold).tolist()}
         got = dict(index.search(terms, threshold))
