@@ -35,7 +35,6 @@ HEADLINE = [
     "label_index",
     "classify_nb",
     "classify_lr",
-    "classify_rf",
     "metric_f1",
     "upsert",
 ]
