@@ -3,8 +3,8 @@
 Method: a bounded sample is cut into clusters of equal size by repeated splits at the median, and the clusters' means are the centroids of the
 posting lists. Every vector is stored in the list of its nearest centroid; one near a boundary also in those of other
 centroids that are hardly farther. Centroids are searched by a neighbour graph held in memory, with a best-first walk. A query
-reads the lists whose centroid is within a ratio of the nearest one's distance; distances to their vectors are computed in
-double precision on the original values.
+reads the lists whose centroid is within a ratio of the distance of the nearest ones; distances to their vectors are computed in
+double precision on the original values. Queries that find fewer than k vectors there, though there are more, read all lists.
 
 Equal vectors are one entry with their k + 1 smallest identifiers, which is all that any answer can need; so a vector that a third of all rows
 share is no hot group. Lists longer than LIST_ROWS, and the queries of a list, are dealt to several tasks.
@@ -36,7 +36,8 @@ class Plan:
     width: int = 384  #: candidates that a query's walk keeps
     copies: int = 4  #: lists that a vector is stored in at most
     boundary: float = 0.05  #: a boundary vector's other centroids are at most this much farther than its nearest
-    reach: float = 0.125  #: the lists a query reads are at most this much farther than the nearest
+    steady: int = 4  #: the ratio is taken from the distance of the centroid at this place, as the nearest may be the vector itself
+    reach: float = 0.1  #: the lists a query reads are at most this much farther than that
 
 
 #: Vectors, and queries, of a list that one task compares.
@@ -125,7 +126,8 @@ def lists_of(vectors: np.ndarray, graph: Graph, plan: Plan) -> list[list[int]]:
 def lists_read(vectors: np.ndarray, graph: Graph, plan: Plan) -> list[list[int]]:
     """The lists that each query reads."""
     ids, dist = graph.search(vectors, plan.width)
-    within = (ids >= 0) & (dist <= (1 + plan.reach) * dist[:, :1])
+    at = min(plan.steady, ids.shape[1]) - 1
+    within = (ids >= 0) & (dist <= (1 + plan.reach) * dist[:, at : at + 1])
     return [own[w].tolist() for own, w in zip(ids, within, strict=True)]
 
 
@@ -190,17 +192,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, plan: Plan = Pla
     asked = valid(queries).select(F.col("vec_id").alias("query_id"), "embedding").where(F.size("embedding") == len(graph.value.centroids[0]))
     asked = store(asked.distinct().mapInArrow(_dealt(graph, plan, lists_read), f"query_id long, embedding {kind}, list int"), "asked")
 
-    # a list's vectors, and its queries, go to as many tasks as their numbers call for
-    parts = lambda n, most: F.ceil(F.count("*") / F.lit(most)).cast("int").alias(n)
-    p = stored.groupBy("list").agg(parts("p", LIST_ROWS))  # one row for each centroid
-    q = asked.groupBy("list").agg(parts("q", QUERY_ROWS))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    numbers = p.join(q, "list")
-    left = stored.join(F.broadcast(numbers), "list").withColumn("i", own("id", "p")).withColumn("j", every("q"))
-    right = asked.join(F.broadcast(numbers), "list").withColumn("j", own("query_id", "q")).withColumn("i", every("p"))
-    left, right = left.select("list", "i", "j", "ids", "embedding"), right.select("list", "i", "j", "query_id", "embedding")
-
     def compare(have: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, float]] = []
         if len(have) and len(want):
@@ -213,8 +204,32 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, plan: Plan = Pla
                 out += [(query, i, float(d)) for d, i in sorted(near)[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    names = ["list", "i", "j"]
-    found = left.groupBy(*names).cogroup(right.groupBy(*names)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    nearest = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    def matches(asked: DataFrame) -> DataFrame:
+        # a list's vectors, and its queries, go to as many tasks as their numbers call for
+        parts = lambda n, most: F.ceil(F.count("*") / F.lit(most)).cast("int").alias(n)
+        p = stored.groupBy("list").agg(parts("p", LIST_ROWS))  # one row for each centroid
+        q = asked.groupBy("list").agg(parts("q", QUERY_ROWS))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+        numbers = p.join(q, "list")
+        left = stored.join(F.broadcast(numbers), "list").withColumn("i", own("id", "p")).withColumn("j", every("q"))
+        right = asked.join(F.broadcast(numbers), "list").withColumn("j", own("query_id", "q")).withColumn("i", every("p"))
+        names = ["list", "i", "j"]
+        have = left.select(*names, "ids", "embedding").groupBy(*names)
+        want = right.select(*names, "query_id", "embedding").groupBy(*names)
+        found = have.cogroup(want).applyInPandas(compare, "query_id long, vec_id long, score double")
+        return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+
+    nearest = store(matches(asked), "found")
+    # lists of few vectors may leave a query short; such queries are compared with all
+    there = everything.select("vec_id").distinct().limit(k + 1).count() - 1
+    counts = nearest.groupBy("query_id").count()
+    short = asked.select("query_id", "embedding").distinct().join(counts, "query_id", "left")
+    short = store(short.where(F.coalesce("count", F.lit(0)) < there).drop("count"), "short")
+    if not short.isEmpty():
+        lists = len(graph.value.centroids)
+        whole = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
+        more = matches(whole).union(nearest).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        nearest = store(more, "found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return nearest.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -65,6 +65,16 @@ def test_clustered_vectors_with_a_hot_one(spark, monkeypatch):
     assert first == list(range(10))
 
 
+def test_short_lists_are_made_up_for(spark):
+    """Vectors that are centroids themselves, far from all others: their own list holds too few."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=3) * 10 ** (i % 7)).tolist()) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plan = nearest.Plan(cluster=2, steady=1, reach=0.0, copies=1)
+    got = nearest.search(vectors, vectors.where("vec_id % 10 = 0"), plan=plan).collect()
+    check(got, brute(rows, every=10), 0.0)
+
+
 def test_graph_walk_finds_the_nearest():
     rng = np.random.default_rng(1)
     graph = nearest.Graph(rng.normal(size=(200, 6)), 16)
