@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, html_text, jaccard_join, langid, leaks, licences, nearest, private, repeats, suffix_tree
-from folioscope.llm.common import is_held_out, open_docs
+from folioscope.llm.common import LOWER_SQL, UPPER_SQL, is_held_out, open_docs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +80,34 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = open_docs(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+_LETTERS = f"'{UPPER_SQL}', '{LOWER_SQL}'"
+
+ORACLE["op10_jaccard_join"] = rf"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(words) = 0 THEN []
+             WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+             ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+        END) AS shingle
+    FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN sizes nx ON nx.doc_id = x JOIN sizes ny ON ny.doc_id = y
+    WHERE 100 * common >= 90 * (nx.n + ny.n - common)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, w.y FROM reached r JOIN ways w ON w.x = r.other)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id
+GROUP BY r.doc_id"""

@@ -119,3 +119,12 @@ def test_sketch_never_exceeds_the_difference(a, b):
 def test_query(spark, data, documents):
     rows = sorted(tuple(r) for r in QUERIES["op10_jaccard_join"](spark, data).collect())
     assert rows == plain_join([(d["doc_id"], d["text"]) for d in documents], 3, 90)
+
+
+def test_sql(spark, data):
+    from check_oracle import connect
+
+    from folioscope.llm.queries import ORACLE
+
+    want = sorted(connect(data).sql(ORACLE["op10_jaccard_join"]).fetchall())
+    assert sorted(tuple(r) for r in QUERIES["op10_jaccard_join"](spark, data).collect()) == want
