@@ -13,6 +13,7 @@ column that has the name of an output is replaced.
 """
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from pyspark.sql.types import BinaryType, StringType
 
 from folioscope.llm.common import appended, slices, with_columns
 
-#: Entries that each of a worker's memo tables may hold (about 20 MB); a full one is emptied, which costs only time.
-MEMO = 150_000
+#: Entries that each of a worker's memo tables may hold (about 30 MB); a full one is emptied, which costs only time.
+MEMO = 250_000
 
 #: Identifiers that one leaf of the decoding tree takes.
 DECODE_LEAF = 4096
@@ -52,13 +53,15 @@ class Coder(dict):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
+        self.halves: dict[bytes, tuple[int, ...]] = {}
         self.windows: dict[bytes, tuple[int, ...]] = {}
         self.stable: dict[tuple[int, int], bool] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        ids = np.array(self.encode_bytes(piece.encode()), "<u4").tobytes()
+        tokens = self.encode_bytes(piece.encode())
+        ids = struct.pack(f"<{len(tokens)}I", *tokens)
         if len(piece) < 64:
             self[piece] = ids
         return ids
@@ -71,12 +74,21 @@ class Coder(dict):
         rank = self.ranks.get(piece)
         if rank is not None:
             return (rank,)
-        if not piece:
-            return ()
-        half = len(piece) // 2
-        return self.join(self.encode_bytes(piece[:half]), self.encode_bytes(piece[half:]))
+        known = self.halves.get(piece)
+        if known is None:
+            if not piece:
+                return ()
+            half = len(piece) // 2
+            known = self.join(self.encode_bytes(piece[:half]), self.encode_bytes(piece[half:]))
+            if len(piece) <= 12:  # syllables and word stems come again and again
+                if len(self.halves) >= MEMO:
+                    self.halves.clear()
+                self.halves[piece] = known
+        return known
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
+        if self.agree(left[-1], right[0]):  # a window of no tokens: nothing changes at this seam
+            return left + right
         width = 1
         while True:
             begin, end = max(0, len(left) - width), min(len(right), width)
