@@ -40,6 +40,27 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder of stored steps that goes, with all in it, when the block ends; only eager results may come out of it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, fresh_path(spark, name)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def remove(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __exit__(self, *_) -> None:
+        self.remove()
+
+
 def with_columns(schema: StructType, **types) -> StructType:
     """The schema with columns added at its end; one of the same name is replaced."""
     out = StructType([f for f in schema if f.name not in types])
@@ -129,29 +150,25 @@ def components(edges: DataFrame, name: str = "components", limit: int = 60) -> D
     partial min. Every round is written to the shared folder. Null ends and self-links are ignored.
     """
     clean = edges.select("a", "b").where("a <> b")
-    both = store(clean.union(clean.select("b", "a")).toDF("node", "other").distinct(), f"{name}-links")
-    labels = store(
-        both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")),
-        f"{name}-0",
-    )
-    for step in range(1, limit + 1):
-        near = (
-            both.join(labels.toDF("other", "theirs"), "other").groupBy("node").agg(F.min("theirs").alias("theirs"))
-        )
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "theirs").alias("new"))
-        # hook: a root takes the smallest label that any of its nodes has met; then every node follows its label
-        roots = lower.groupBy("label").agg(F.min("new").alias("hook"))
-        hooked = lower.join(roots, "label").select("node", "label", F.least("new", "hook").alias("new"))
-        parents = hooked.select(F.col("node").alias("new"), F.col("new").alias("up"))
-        following = store(
-            hooked.join(parents, "new", "left").select(
+    with Scratch(edges.sparkSession, name) as scratch:
+        both = scratch.store(clean.union(clean.select("b", "a")).toDF("node", "other").distinct(), "links")
+        labels = both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label"))
+        labels = scratch.store(labels, "0")
+        for step in range(1, limit + 1):
+            near = both.join(labels.toDF("other", "theirs"), "other").groupBy("node").agg(F.min("theirs").alias("theirs"))
+            lower = labels.join(near, "node").select("node", "label", F.least("label", "theirs").alias("new"))
+            # hook: a root takes the smallest label that any of its nodes has met; then every node follows its label
+            roots = lower.groupBy("label").agg(F.min("new").alias("hook"))
+            hooked = lower.join(roots, "label").select("node", "label", F.least("new", "hook").alias("new"))
+            parents = hooked.select(F.col("node").alias("new"), F.col("new").alias("up"))
+            followed = hooked.join(parents, "new", "left").select(
                 "node", "label", F.least("new", F.coalesce("up", "new")).alias("new")
-            ),
-            f"{name}-{step}",
-        )
-        labels = following.select("node", F.col("new").alias("label"))
-        if following.where("label <> new").isEmpty():
-            return labels
+            )
+            followed = scratch.store(followed, str(step))
+            labels = followed.select("node", F.col("new").alias("label"))
+            if followed.where("label <> new").isEmpty():
+                return store(labels, name)
+            scratch.remove(str(step - 1))
     raise RuntimeError(f"components did not settle in {limit} rounds")
 
 

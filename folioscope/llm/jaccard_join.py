@@ -4,7 +4,9 @@ Method: the shingles of all documents have one global order, that of their 64-bi
 
 1. Candidates. Sets of n shingles that overlap by the share asked for differ in at most D shingles (shingles.most_apart). So if the order is
    cut into more than D fragments, two such sets agree wholly in one fragment at least. Each set sends one key for each of its
-   fragments, at the one or two cuts that its size calls for. Tasks first join their own rows: of documents with equal
+   fragments, at the one or two cuts that its size calls for. Shingles of at least FREQUENT_SHARE of all documents, as lines that
+   many share have them, are left out of the keys where the others are enough (shingles.fragment_keys); which ones count as
+   frequent decides the work, never the result. Tasks first join their own rows: of documents with equal
    keys one goes on, and its links to the others are candidates themselves. So a key that many documents share reaches the
    shuffle once for each task. Documents with equal keys form a star around the smallest.
 2. Partial overlaps. For each candidate pair the overlap is counted in each of PARTS fragments by itself, and summed. A parity sketch,
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import chunks, components, mix, slices, store, text_bytes
+from folioscope.llm.common import Scratch, chunks, components, mix, slices, store, text_bytes
 from folioscope.llm.shingles import fragment_keys, levels, parity_sketch, set_digest, shingle_sets
 
 #: Fragments in which the overlap of a candidate pair is counted.
@@ -40,11 +42,14 @@ BLOCK = 1000
 #: Rows that a task gathers before it joins them and sends them on.
 GATHERED = 2_000_000
 
+#: Share of all documents from which a shingle counts as frequent; so these number at most the mean size of a set / FREQUENT_SHARE.
+FREQUENT_SHARE = 1e-3
+
 #: Identifiers that are broadcast to find their texts (8 MB); more are found by a shuffled join.
 BROADCAST_IDS = 1_000_000
 
 #: Rounds with other centres before all pairs of different classes are looked at.
-STARS = 2
+STARS = 1
 
 
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -76,7 +81,40 @@ def _joined(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
     return _rows(np.concatenate([key[first], own]), np.concatenate([doc[first], pairs[:, 0]]), np.concatenate([doc[first], pairs[:, 1]]))
 
 
-def _scan(words: int, share: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _often(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Shingles that stand in three documents or more of those read together, and in how many."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[bytes] = set()
+
+        def counted() -> pa.RecordBatch:
+            shingle, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= 3
+            return pa.RecordBatch.from_arrays([pa.array(shingle[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
+
+        for _, shingles in _sets(batches, words):
+            digest = set_digest(shingles)
+            if digest not in seen:
+                seen.add(digest)
+                held.append(shingles)
+            if len(held) % 256 == 255 and sum(map(len, held)) > GATHERED:
+                yield counted()
+                held, seen = [], set()
+        if held:
+            yield counted()
+
+    return run
+
+
+def _frequent(docs: DataFrame, words: int) -> np.ndarray:
+    """Hashes of the frequent shingles, sorted."""
+    least = F.lit(max(20.0, FREQUENT_SHARE * docs.count()))
+    found = docs.mapInArrow(_often(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return np.sort(found.select("shingle").toArrow()["shingle"].to_numpy().view(np.uint64))
+
+
+def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of each document its size and digest (key null), and its fragments' keys, joined within the task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +133,7 @@ def _scan(words: int, share: int) -> Callable[[Iterable[pa.RecordBatch]], Iterat
             info.append((doc_id, len(shingles), digest))
             if digest and digest not in seen and levels(len(shingles), share) != [0]:
                 seen.add(digest)
-                made = fragment_keys(shingles, share)
+                made = fragment_keys(shingles, share, shipped.value)
                 keys.append(made)
                 ids.append(np.full(len(made), doc_id, np.int64))
                 held += len(made)
@@ -113,9 +151,12 @@ def _scan(words: int, share: int) -> Callable[[Iterable[pa.RecordBatch]], Iterat
     return run
 
 
-def _details(words: int, share: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (doc_id, text, wanted): one row for each set whose digest is wanted; a task sends each once."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
+        sent: set[bytes] = set()
 
         def made() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -123,14 +164,20 @@ def _details(words: int, share: int) -> Callable[[Iterable[pa.RecordBatch]], Ite
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "n", "sketch", "keys", "parts"])
 
-        for doc_id, shingles in _sets(batches, words):
-            cuts = np.searchsorted(shingles, np.arange(PARTS, dtype=np.uint64) << np.uint64(64 - PARTS.bit_length() + 1))
-            parts = [p.tobytes() for p in np.split(shingles, cuts[1:])]
-            keys = fragment_keys(shingles, share).view(np.int64)
-            rows.append((set_digest(shingles), doc_id, len(shingles), parity_sketch(shingles, SKETCH), keys, parts))
-            if len(rows) >= 200:
-                yield made()
-                rows = []
+        for batch in batches:
+            wanted = batch.column("wanted").to_pylist()
+            for want, (doc_id, shingles) in zip(wanted, _sets([batch], words), strict=True):
+                digest = set_digest(shingles)
+                if digest != want or digest in sent:
+                    continue
+                sent.add(digest)
+                cuts = np.searchsorted(shingles, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(65 - PARTS.bit_length()))
+                parts = [p.tobytes() for p in np.split(shingles, cuts)]
+                keys = fragment_keys(shingles, share, shipped.value).view(np.int64)
+                rows.append((digest, doc_id, len(shingles), parity_sketch(shingles, SKETCH), keys, parts))
+                if len(rows) >= 200:
+                    yield made()
+                    rows = []
         if rows:
             yield made()
 
@@ -144,11 +191,16 @@ def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
             for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)
         ]
-        kept = [batch.column(c) for c in ("a", "b", "na", "nb")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes, pa.int64())], names=["a", "b", "na", "nb", "overlap"])
+        names = ["a", "b", "na", "nb", "part"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sizes, pa.int64())], names=[*names, "overlap"])
+
 
+def _known(ids: DataFrame) -> DataFrame:
+    """Identifiers to look up: broadcast if they are few enough, else left to a shuffled join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-def _links(pairs: DataFrame, details: DataFrame, share: int) -> DataFrame:
+
+def _links(scratch: Scratch, name: str, pairs: DataFrame, details: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) of digests that are linked: sketches first, then overlaps counted part by part and summed."""
     short = details.select("digest", "n", "sketch")
     near = (
@@ -159,14 +211,20 @@ def _links(pairs: DataFrame, details: DataFrame, share: int) -> DataFrame:
     apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     # linked sets differ in at most this many shingles
     near = near.where(apart * (100 + share) <= (F.col("na") + F.col("nb")) * (100 - share)).select("a", "b", "na", "nb")
-    parts = details.select("digest", F.posexplode("parts").alias("part", "x"))
+    near = scratch.store(near.distinct(), f"{name}-near")
+    ends = _known(near.select("a").union(near.select("b")).toDF("digest").distinct())
+    parts = details.join(ends, "digest", "left_semi").select("digest", F.posexplode("parts").alias("part", "x"))
     both = (
         near.join(parts.toDF("a", "part", "xa"), "a")
         .join(parts.toDF("b", "part", "xb"), ["b", "part"])
-        .select("a", "b", "na", "nb", "xa", "xb")
+        .select("a", "b", "na", "nb", "part", "xa", "xb")
     )
-    counted = both.mapInArrow(_overlaps, "a binary, b binary, na int, nb int, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("i"))
-    return counted.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * share).select("a", "b")
+    counted = both.mapInArrow(_overlaps, "a binary, b binary, na int, nb int, part int, overlap long")
+    # a set may come from several tasks; its parts are the same, so the largest is each of them
+    counted = counted.groupBy("a", "b", "na", "nb", "part").agg(F.max("overlap").alias("overlap"))
+    counted = counted.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("i"))
+    linked = counted.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * share).select("a", "b")
+    return scratch.store(linked, name)
 
 
 def _block_pairs(share: int, turn: int | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -216,13 +274,21 @@ def _block_pairs(share: int, turn: int | None) -> Callable[[Iterable[pa.RecordBa
     return run
 
 
-def _remaining(details: DataFrame, labels: DataFrame, share: int, turn: int | None) -> DataFrame:
+def _shared_keys(details: DataFrame) -> DataFrame:
+    """Rows (key, digest) of the keys that several sets have."""
+    rows = details.select(F.explode("keys").alias("key"), "digest")
+    several = rows.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    return rows.join(several.select("key"), "key", "left_semi")
+
+
+def _remaining(shared: DataFrame, details: DataFrame, labels: DataFrame, share: int, turn: int | None) -> DataFrame:
     """Pairs of digests of different classes under one key that may be linked."""
-    rows = details.select("digest", "n", F.col("doc").alias("node"), F.explode("keys").alias("key")).join(labels, "node", "left")
-    rows = rows.select("key", "digest", "n", F.coalesce("label", "node").alias("label"))
+    sets = details.select("digest", "n", "sketch", F.col("doc").alias("node")).dropDuplicates(["digest"]).join(labels, "node", "left")
+    sets = sets.select("digest", "n", "sketch", F.coalesce("label", "node").alias("label"))
+    rows = shared.join(sets.select("digest", "label"), "digest")
     mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
     mixed = mixed.where("low <> high").select("key", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    members = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    members = shared.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     if turn is None:
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     else:
@@ -233,27 +299,35 @@ def _remaining(details: DataFrame, labels: DataFrame, share: int, turn: int | No
         F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
         "digest",
-        "label",
-        "n",
     )
-    members = members.join(details.select("digest", "sketch"), "digest")
-    ordered = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    ordered = members.join(sets, "digest").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return ordered.mapInArrow(_block_pairs(share, turn), "a binary, b binary").distinct()
 
 
 def join(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for the documents' (doc_id, text); linked: overlap * 100 >= union * share."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = store(docs.where("doc_id is not null").mapInArrow(_scan(words, share), _KEY_ROWS), "fragments")
-    info = scanned.where("key is null").select(F.col("a").alias("doc_id"), "n", "digest")
+    with Scratch(docs.sparkSession, "jaccard") as scratch:
+        sizes, labels = _classes(scratch, docs, words, share)
+    sizes = sizes.union(docs.where("doc_id is null").select("doc_id", F.lit(None).cast("int")))
+    return sizes.join(labels.toDF("doc_id", "label"), "doc_id", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")
+    )
+
+
+def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (doc_id, n) of all documents with an identifier, and (node, label) of those that are linked."""
+    known = docs.where("doc_id is not null")
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(known, words))
+    scanned = scratch.store(known.mapInArrow(_scan(words, share, frequent), _KEY_ROWS), "fragments")
+    info = scratch.store(scanned.where("key is null").select(F.col("a").alias("doc_id"), "n", "digest"), "info")
     sets = info.where("n > 0")
-    firsts = store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc")), "equal-sets")
-    copies = sets.join(firsts, "digest").where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
+    firsts = scratch.store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc")), "equal-sets")
 
-    least = F.min("a").over(Window.partitionBy("key"))
-    stars = scanned.where("key is not null").select("a", "b", least.alias("centre"))
-    both = F.array(F.struct("centre", F.col("a").alias("to")), F.struct(F.col("a").alias("centre"), F.col("b").alias("to")))
-    stars = stars.where("centre <> a or a <> b").select(F.explode(both).alias("p")).select("p.*").where("centre <> to").distinct()
+    keyed = scanned.where("key is not null")
+    centre = F.min("a").over(Window.partitionBy("key")).alias("centre")
+    stars = keyed.where("a = b").select("key", "a").select(centre, F.col("a").alias("to")).where("centre <> to")
+    stars = stars.union(keyed.where("a <> b").select("a", "b")).distinct()
     by_doc = sets.select("doc_id", "digest").distinct()
     pairs = (
         stars.join(by_doc.toDF("centre", "x"), "centre")
@@ -262,27 +336,30 @@ def join(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    pairs = store(pairs, "star-pairs")
-    wanted = store(pairs.select("a").union(pairs.select("b")).toDF("digest").distinct().join(firsts, "digest"), "wanted")
-    ids = wanted.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    details = texts.mapInArrow(_details(words, share), "digest binary, doc long, n int, sketch array<long>, keys array<long>, parts array<binary>")
-    details = store(details.join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]), "details")
-
-    named = wanted.select("digest", "doc")
+    pairs = scratch.store(pairs, "star-pairs")
+    scratch.remove("fragments")
+    wanted = pairs.select("a").union(pairs.select("b")).toDF("digest").distinct().join(firsts, "digest")
+    wanted = scratch.store(wanted.select("doc", "digest"), "wanted")
+    texts = docs.join(_known(wanted.toDF("doc_id", "wanted")), "doc_id")
+    details = texts.mapInArrow(
+        _details(words, share, frequent), "digest binary, doc long, n int, sketch array<long>, keys array<long>, parts array<binary>"
+    )
+    details = scratch.store(details, "details")
+    shared = scratch.store(_shared_keys(details), "shared")
 
     def as_documents(links: DataFrame) -> DataFrame:
-        return links.join(named.toDF("a", "da"), "a").join(named.toDF("b", "db"), "b").select(F.col("da").alias("a"), F.col("db").alias("b"))
+        named = links.join(wanted.toDF("da", "a"), "a").join(wanted.toDF("db", "b"), "b")
+        return named.select(F.col("da").alias("a"), F.col("db").alias("b"))
 
-    edges = store(copies.union(as_documents(_links(pairs, details, share))), "links")
+    copies = sets.join(firsts, "digest").where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
+    edges = scratch.store(copies.union(as_documents(_links(scratch, "linked-0", pairs, details, share))), "edges")
     labels = components(edges, "classes")
-    for turn in [*range(1, STARS + 1), None]:
-        more = as_documents(_links(store(_remaining(details, labels, share, turn), "pairs"), details, share))
-        more = store(more, "links")
+    for turn in range(1, STARS + 2):
+        rest = scratch.store(_remaining(shared, details, labels, share, turn if turn <= STARS else None), f"rest-{turn}")
+        if rest.isEmpty():
+            continue
+        more = _links(scratch, f"linked-{turn}", rest, details, share)
         if not more.isEmpty():
-            edges = edges.union(more)
+            edges = edges.union(as_documents(more))
             labels = components(edges, "classes")
-    sizes = info.select("doc_id", "n").union(docs.where("doc_id is null").select("doc_id", F.lit(None).cast("int")))
-    return sizes.join(labels.toDF("doc_id", "label"), "doc_id", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")
-    )
+    return store(info.select("doc_id", "n"), "sizes"), labels

@@ -43,8 +43,8 @@ def most_apart(size: int, share: int) -> int:
 
 
 def level(size: int, share: int) -> int:
-    """Bits of the order that cut it into more fragments than linked sets can differ in."""
-    return most_apart(size, share).bit_length()
+    """Bits of the order that cut it into more fragments, by a quarter, than linked sets can differ in."""
+    return (most_apart(size, share) * 5 // 4).bit_length()
 
 
 def levels(size: int, share: int) -> list[int]:
@@ -52,18 +52,39 @@ def levels(size: int, share: int) -> list[int]:
     return sorted({level(-(-size * share // 100), share), level(size, share)})
 
 
-def fragment_keys(shingles: np.ndarray, share: int) -> np.ndarray:
-    """A key for each fragment of the order at each level: two sets have the same one if they agree in the whole fragment."""
+def fragment_keys(shingles: np.ndarray, share: int, frequent: np.ndarray = np.zeros(0, np.uint64)) -> np.ndarray:  # noqa: B008
+    """Keys of fragments of the order at each level: linked sets have one in common at least.
+
+    Two sets that differ in D shingles agree in all but D fragments. If more than D of a set's fragments hold shingles that are
+    not ``frequent`` (sorted), one of these agrees, so the keys of such fragments are enough for all its links. A set of which fewer
+    do also sends the keys of all its shingles' fragments, and where not even more than D of them hold anything, those of the empty ones. Of two
+    linked sets either one's first keys are enough, or both send the others too.
+    """
+    at = np.minimum(np.searchsorted(frequent, shingles), max(0, frequent.size - 1))
+    rare = shingles[frequent[at] != shingles] if frequent.size else shingles
     out = []
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles), dtype=np.uint64)])
     for bits in levels(len(shingles), share):
-        cuts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-        at = np.concatenate([[0], np.searchsorted(shingles, cuts), [len(shingles)]])
-        held = sums[at[1:]] - sums[at[:-1]]
-        out.append(mix(held + mix(np.arange(len(held), dtype=np.uint64) + np.uint64(bits << 40))))
+        apart = min(most_apart(len(shingles), share), (4 * (1 << bits) - 1) // 5)  # of any two sets that meet at this level
+        for kind, part in enumerate([rare, shingles]):
+            keys, filled = _keys(part, bits, kind)
+            out.append(keys[filled])
+            if np.count_nonzero(filled) > apart:
+                break
+        else:
+            out.append(keys[~filled])
     return np.concatenate(out)
 
 
+def _keys(shingles: np.ndarray, bits: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key for each fragment at a level, and which fragments hold shingles."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles), dtype=np.uint64)])
+    cuts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    at = np.concatenate([[0], np.searchsorted(shingles, cuts), [len(shingles)]])
+    held = sums[at[1:]] - sums[at[:-1]]
+    name = np.arange(len(held), dtype=np.uint64) + np.uint64((2 * bits + kind) << 40)
+    return mix(held + mix(name)), at[1:] > at[:-1]
+
+
 def parity_sketch(shingles: np.ndarray, words: int) -> np.ndarray:
     """Bits (in ``words`` 64-bit words) that each shingle toggles one of; two sketches differ in no more bits than the sets do in shingles."""
     place = (mix(shingles ^ np.uint64(0x9E3779B9)) >> np.uint64(32)) % np.uint64(64 * words)

@@ -64,6 +64,7 @@ def edited(rng, words, edits):
 def test_groups_of_near_copies(spark, words, share, monkeypatch):
     """Groups whose members differ around the threshold, so that many are linked by way of others only."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_SHARE", 0.05)
     rng = random.Random(words)
     rows = []
     for group in range(12):
@@ -108,6 +109,22 @@ def test_enough_fragments(size, share):
             assert any(2**bits > differ for bits in common)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 300), st.sampled_from([50, 80, 90]), st.floats(0, 1), st.floats(0, 1))
+def test_linked_sets_share_a_key(seed, size, share, edits, common):
+    """Also where most shingles, or all, are frequent, and fragments are empty."""
+    rng = np.random.default_rng(seed)
+    a = rng.integers(0, 2**64, size, np.uint64)
+    frequent = np.unique(a[: int(common * size)])
+    # drop and add as many as a link allows
+    differ = int(edits * shingles.most_apart(size, share))
+    b = np.concatenate([a[differ // 2 :], rng.integers(0, 2**64, differ - differ // 2, np.uint64)])
+    a, b = np.unique(a), np.unique(b)
+    both = len(np.intersect1d(a, b))
+    if 100 * both >= share * (len(a) + len(b) - both) and len(a) and len(b):
+        assert set(shingles.fragment_keys(a, share, frequent).tolist()) & set(shingles.fragment_keys(b, share, frequent).tolist())
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=80), st.sets(st.integers(0, 2**64 - 1), max_size=20))
 def test_sketch_never_exceeds_the_difference(a, b):
