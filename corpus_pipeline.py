@@ -50,8 +50,9 @@ def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token identifiers (four bytes each); text is what these decode to."""
     coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(coded, RANKS, public_tokenizers.PATTERN, out="text", as_text=True)
-    return decoded.withColumn("n_tokens", F.call_function("div", F.octet_length("token_ids"), F.lit(4)).cast("long"))
+    decoded = bpe.decode(coded.drop("text"), RANKS, public_tokenizers.PATTERN, out="text", as_text=True)
+    n_tokens = F.call_function("div", F.octet_length("token_ids"), F.lit(4)).cast("long").alias("n_tokens")
+    return decoded.select(*docs.columns, "token_ids", n_tokens)
 
 
 STAGES = [

@@ -25,8 +25,8 @@ from pyspark.sql.types import BinaryType, StringType
 
 from folioscope.llm.common import appended, slices, with_columns
 
-#: Entries that each of a worker's memo tables may hold (about 30 MB); a full one is emptied, which costs only time.
-MEMO = 250_000
+#: Entries that each of a worker's memo tables may hold (about 10 MB); a full one is emptied, which costs only time.
+MEMO = 80_000
 
 #: Identifiers that one leaf of the decoding tree takes.
 DECODE_LEAF = 4096
