@@ -66,6 +66,11 @@ class Coder(dict):
             self[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Empty the memo tables, so that an idle worker holds the vocabulary alone."""
+        for table in (self, self.halves, self.windows, self.stable):
+            table.clear()
+
     def encode(self, text: str) -> bytes:
         """Identifiers of a text, as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.__getitem__, self.find(text)))
@@ -186,7 +191,7 @@ _CODERS: dict[tuple[bytes, str], Coder] = {}
 
 
 def _coder(content: bytes, pattern: str) -> Coder:
-    """One coder for a vocabulary in a worker process; its memo tables serve all tasks that run there."""
+    """One coder for a vocabulary in a worker process; its memo tables are emptied at the end of a task."""
     key = (content, pattern)
     if key not in _CODERS:
         _CODERS.clear()
@@ -207,6 +212,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
         for batch in slices(batches):
             ids = [coder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield appended(batch, schema, **{out: pa.array(ids, pa.binary())})
+        coder.forget()
 
     return docs.mapInArrow(run, schema)
 
