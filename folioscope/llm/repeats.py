@@ -1,8 +1,9 @@
 """Substring deduplication by sliding spans of sentences.
 
 Method: every run of SPAN consecutive sentences is hashed. Of all places with the same hash in the corpus the first, by identifier and
-position, stays; sentences covered by any later place are marked. Marked sentences that follow each other are removed if together
-they have at least ``least_words`` words, so that short lines which many documents share stay.
+position, stays; sentences covered by any later place are marked and removed, however short. A caller may ask for ``least_words``:
+then marked sentences that follow each other stay if together they have fewer words. Of a passage that starts or ends inside a sentence
+only the whole sentences count, so a copy without SPAN whole sentences in it stays.
 
 Sentences end at . ! or ? before white space, at a line end, and at the end of the text. A longer run than LONG words (lists, text
 without punctuation) is also cut after each word whose hash is a multiple of CUT, which depends on the words alone, so that a
@@ -30,8 +31,8 @@ from folioscope.llm.common import appended, chunks, mix, slices, text_bytes, wit
 #: Sentences of a span.
 SPAN = 2
 
-#: Words that marked sentences must have together to be removed.
-LEAST_WORDS = 30
+#: Words that marked sentences must have together to be removed; none: all are.
+LEAST_WORDS = 0
 
 #: Words from which a sentence is cut after words whose hash is a multiple of CUT.
 LONG, CUT = 40, 8

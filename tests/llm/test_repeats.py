@@ -113,3 +113,16 @@ def test_query(spark, data):
     got = QUERIES["op5_repeats"](spark, data).collect()
     check(spark, docs, got)
     assert any(r.n_removed for r in got)
+
+
+def test_a_passage_that_starts_and_ends_inside_sentences(spark):
+    """Its whole sentences go, though they have fewer than 30 words."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    inner = " ".join(" ".join(word() for _ in range(n)) + "." for n in (13, 12))
+    head, tail = (" ".join(word() for _ in range(16)) for _ in range(2))
+    rows = [(i, f"{word()} {word()} {head}. {inner} {tail} {word()}. {word()}.") for i in (1, 2)]
+    rows = [(i, t.replace(head, f"{head} {word()}")) for i, t in rows]
+    got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[1].n_removed == 0
+    assert got[2].text == rows[1][1].replace(f"{inner} ", "") and got[2].n_removed == 2
