@@ -2,8 +2,10 @@
 
 Method: a text is a vector of byte n-grams (one to three bytes of its lower-cased letters, hashed to FEATURES places), weighted by
 TF-IDF and normalised. The labelled texts of each language are clustered into several centroids by spherical
-k-means. A text gets the language of the centroid with the highest cosine. It is rejected if its distance to that centroid
-is beyond what the centroid's own members show (see REJECT_FACTOR).
+k-means. A text gets the language of the centroid with the highest cosine. It is rejected if its cosine is below what all but
+REJECT_QUANTILE of the language's own texts of at least its length reach. These are scored by centroids of texts that they
+are not among: each half of the sample by those of the other. Floors go by length, as short texts score lower. Where there are too few texts
+to tell (LEAST_MEMBERS as long, LEAST_SHORT as short), the floor is REJECT_FACTOR of the lowest.
 
 Document frequencies come from all labelled texts. Only the clustering uses a bounded sample: ``sample`` texts of each language, those
 with the smallest hash of the identifier (of the text, where there is none). Whole texts are read, in slices of bounded size.
@@ -34,9 +36,16 @@ SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
 
-#: A text is rejected if its cosine is below this part of the lowest of its centroid's members (at quantile REJECT_QUANTILE).
+#: A text is rejected if its cosine is below this quantile of its language's texts of its length and longer; below this part of
+#: that where they are too few.
 REJECT_FACTOR, REJECT_QUANTILE = 0.5, 0.001
 
+#: Texts that a floor needs: of its length or longer, and of its length or shorter.
+LEAST_MEMBERS, LEAST_SHORT = 100, 5
+
+#: Lengths, as powers of two, that have floors of their own.
+LENGTHS = 24
+
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SALT = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 _SHIFT = np.uint32(32 - FEATURES.bit_length() + 1)
@@ -81,7 +90,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
-    floors: np.ndarray  # lowest cosine that is not rejected
+    floors: np.ndarray  # of each centroid and length: lowest cosine that is not rejected
     idf: np.ndarray
 
     def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +118,34 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarra
     return centres.astype(np.float32), (x @ centres.T).argmax(axis=1)
 
 
+def length_class(texts: list[bytes]) -> np.ndarray:
+    """Binary logarithm of each text's length in letters and single blanks, rounded down."""
+    return np.array([min(LENGTHS, len(_normal(t)).bit_length()) - 1 for t in texts], np.int64)
+
+
+def held_out_cosines(x: np.ndarray, clusters: int) -> np.ndarray:
+    """Of each unit vector the highest cosine with centroids of the other half; of few vectors with those of all."""
+    if len(x) < 2 * LEAST_MEMBERS:
+        return (x @ spherical_kmeans(x, clusters)[0].T).max(axis=1)
+    out = np.zeros(len(x))
+    for half in (0, 1):
+        out[half::2] = (x[half::2] @ spherical_kmeans(x[1 - half :: 2], clusters)[0].T).max(axis=1)
+    return out
+
+
+def length_floors(cosine: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Lowest cosine, for each length, that is not rejected."""
+    out = np.zeros(LENGTHS)
+    for n in range(LENGTHS):
+        longer = cosine[lengths >= n]
+        if n and longer.size < LEAST_MEMBERS:
+            out[n] = out[n - 1]
+            continue
+        known = longer.size >= LEAST_MEMBERS and (lengths <= n).sum() >= LEAST_SHORT
+        out[n] = (1.0 if known else REJECT_FACTOR) * float(np.quantile(longer, REJECT_QUANTILE, method="lower"))
+    return out
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
@@ -153,17 +190,18 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     )
 
     def cluster(rows: pd.DataFrame) -> pd.DataFrame:
-        vectors = unit(counts([t.encode() for t in sorted(rows["text"])]) * idf)
+        texts = [t.encode() for t in sorted(rows["text"])]
+        vectors = unit(counts(texts) * idf)
         centres, own = spherical_kmeans(vectors, clusters)
-        cosine = (vectors * centres[own]).sum(axis=1)
-        floors = [REJECT_FACTOR * float(np.quantile(cosine[own == j], REJECT_QUANTILE)) for j in range(len(centres)) if (own == j).any()]
+        mixed = np.random.default_rng(0).permutation(len(vectors))  # halves that do not follow the order of the texts
+        floors = length_floors(held_out_cosines(vectors[mixed], clusters), length_class(texts)[mixed])
         kept = [c.tobytes() for j, c in enumerate(centres) if (own == j).any()]
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": kept, "floor": floors})
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": kept, "floors": [floors] * len(kept)})
 
-    rows = gather(some.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floor double"))
+    rows = gather(some.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floors array<double>"))
     rows.sort(key=lambda r: (r[0], bytes(r[1])))
     centroids = np.array([np.frombuffer(c, np.float32) for _, c, _ in rows], np.float32).reshape(-1, FEATURES)
-    return Model([r[0] for r in rows], centroids, np.array([r[2] for r in rows]), idf)
+    return Model([r[0] for r in rows], centroids, np.array([r[2] for r in rows]).reshape(-1, LENGTHS), idf)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -181,7 +219,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             known = np.array([len(own.languages) > 0 and t is not None for t in lower.to_pylist()], bool)
             best, score = own.nearest(texts) if known.any() else (np.zeros(len(texts), np.int64), np.zeros(len(texts)))
             names = [own.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
-            out = [s < own.floors[b] if k else True for b, s, k in zip(best, score, known, strict=True)]
+            sizes = length_class(texts)
+            out = [s < own.floors[b, n] if k else True for b, n, s, k in zip(best, sizes, score, known, strict=True)]
             plain = batch.drop_columns(["_lower"])
             yield appended(
                 plain,

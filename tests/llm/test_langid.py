@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from folioscope.llm import langid
 from folioscope.llm.queries import QUERIES
@@ -60,3 +61,31 @@ def test_nothing_to_learn_from(spark):
     row = langid.predict(docs, langid.fit(docs)).first()
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
     assert langid.predict(docs.limit(0), langid.fit(docs.limit(0))).collect() == []
+
+
+LATIN = {
+    "it": "tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. essi sono dotati di ragione e di coscienza e devono agire "
+    "gli uni verso gli altri in spirito di fratellanza. ogni individuo ha diritto alla vita, alla libertà ed alla sicurezza.",
+    "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. heille on annettu järki ja omatunto, ja heidän on "
+    "toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. są oni obdarzeni rozumem i sumieniem i powinni "
+    "postępować wobec innych w duchu braterstwa.",
+}
+
+
+def test_junk_and_unlearned_languages_in_latin_letters_are_rejected(spark):
+    import base64
+    import random
+
+    rng = random.Random(1)
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (200, 400, 3000)]
+    junk += [base64.b64encode(rng.randbytes(n)).decode() for n in (200, 2000)]
+    junk += list(LATIN.values()) + [" ".join([t] * 10) for t in LATIN.values()]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(F.col("doc_id").alias("key"), "text", "lang")
+    held = F.crc32(F.col("key").cast("string")) % 5 == 0
+    model = langid.fit(docs.where(~held))
+    found = langid.predict(spark.createDataFrame([(t,) for t in junk], "text string"), model).collect()
+    assert [r.text[:40] for r in found if not r.rejected] == []
+    clean = langid.predict(docs.where(held & langid.has_letter(F.col("text"))).drop("lang"), model)
+    share = clean.agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert share < 0.01
