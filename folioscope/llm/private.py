@@ -273,7 +273,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Replaces personal data in the text column; adds n_private (values replaced) and private_kinds (sorted, comma-joined)."""
     net = Network(key)
     body = F.col(text)
-    some = body.rlike("[0-9]{3}|@|[0-9][./][0-9]")  # every candidate has one of these
+    some = body.rlike("[0-9]{3}|@|[0-9][./][0-9]|[+][2-9]|[A-Z]{2}[0-9]{2}")  # every candidate has one of these
     found = docs.withColumn(
         "_found", F.when(some, F.transform(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)), lambda m: _replaced(m, net)))
     )

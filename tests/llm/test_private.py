@@ -180,3 +180,12 @@ def test_query(spark, data, documents, plan_of):
         assert (row.n_private == len(values)) and (row.n_private > 0) == (row.text != old), (values, row.n_private)
         assert not any(v in row.text for v in values)
         assert re.sub(r"[\da-z.]", "", row.text) == re.sub(r"[\da-z.]", "", old)
+
+
+def test_each_form_alone_in_a_text(spark):
+    alone = ["+45 12 34 56 78", "+45-12-34-56-78", "+44 20 79 46 09 58", "a@b.de", "1.2.3.4", "1/2/1999", "2024-02-29", "123-45-6789"]
+    got = run(spark, alone)
+    assert [n for _, n, _ in got] == [1] * len(alone)
+    assert not any(t == v for (t, _, _), v in zip(got, alone, strict=True))
+    (a, _, _), (b, _, _) = run(spark, [f"call {alone[0]}", f"call {alone[0]} room 4711"])
+    assert b == f"{a} room 4711"  # equal values stay linked
