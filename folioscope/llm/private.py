@@ -1,6 +1,6 @@
 """Personal data in documents, replaced by keyed pseudonyms of the same format. DataFrame functions only.
 
-Method: one pattern finds candidates; each is validated (check digits, ranges, calendar) and mapped to its place in the set of
+Method: one pattern finds account numbers, another all other candidates in what is left; each is validated (check digits, ranges, calendar) and mapped to its place in the set of
 all valid values of its format. A Feistel network over that set, keyed by hashes, permutes it, and the new place is
 written in the found value's format. So equal values get equal pseudonyms in all documents, different values different ones.
 
@@ -15,7 +15,8 @@ written in the found value's format. So equal values get equal pseudonyms in all
 | date | calendar, years 1700 to 2099; y-m-d, d/m/y, m/d/y (with / or .) | day of the 400-year cycle, an exact 146,097 days |
 
 d/m/y is tried before m/d/y; a date that is only valid as m/d/y walks on along its cycle until it is such a date again, so the two
-do not mix. Everything else, and every value that is not valid, stays as it is, byte by byte. A permutation may map a value to itself; of sets as
+do not mix. An account number has the length that its country fixes; of other countries it is the longest run of groups. What
+is no valid account number is searched for the other kinds like the text around it. Everything else, and every value that is not valid, stays as it is, byte by byte. A permutation may map a value to itself; of sets as
 large as these hardly ever one does (a local part of one letter may, as 1 in 26).
 
 Null texts stay null, empty ones empty; both count no values. Whole texts are read. Repeated rows are treated alike. Extra columns
@@ -39,9 +40,29 @@ _ABROAD = r"(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\d)"
 _CARD = r"(?<![\d.+])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
 _IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: Characters of an account number, as each country fixes them.
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA",
+    23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM",
+    28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    return rf"(?:{countries})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+_KNOWN = "|".join(_IBAN_SIZES.values())
+#: Other countries, and unusual lengths; a word like the head of a known country's number ends these.
+_OTHER_IBAN = rf"[A-Z]{{2}}\d{{2}}(?: ?(?!\b(?:{_KNOWN})\d\d)[A-Z0-9]{{4}}){{2,7}}(?: ?(?!\b(?:{_KNOWN})\d)[A-Z0-9]{{1,3}})?"
+_EACH_IBAN = [*(_iban_of(*each) for each in _IBAN_SIZES.items()), _OTHER_IBAN]
+_IBAN = r"\b(?:" + "|".join(rf"{each}\b" for each in _EACH_IBAN) + r")(?![A-Za-z0-9._%+-]{0,63}@)"
 _DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)"
-CANDIDATE = "|".join([_EMAIL, _IBAN, _DATE, _IP, _SSN, _PHONE, _ABROAD, _CARD])
+CANDIDATE = "|".join([_EMAIL, _DATE, _IP, _SSN, _PHONE, _ABROAD, _CARD])
+
+#: Stands for an account number while the other kinds are searched; one in the text itself stands for itself.
+_MARK = "\ue000"
 
 _NANP = r"^((?:\+1[ .-]?)?\(?)(\d{3})(\)?[ .-]?)(\d{3})([ .-]?)(\d{4})$"
 _FIRST_DAY, _DAYS = "1700-01-01", 146_097
@@ -252,9 +273,9 @@ def _date(m: Column, net: Network) -> tuple[Column, Column]:
     )
 
 
-#: Kinds in the order in which a candidate is tried.
+#: Kinds but account numbers, in the order in which a candidate is tried.
 KINDS: dict[str, Callable[[Column, Network], tuple[Column, Column]]] = {
-    "email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "abroad": _abroad, "card": _card, "iban": _iban,
+    "email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "abroad": _abroad, "card": _card,
 }
 
 
@@ -274,17 +295,33 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     net = Network(key)
     body = F.col(text)
     some = body.rlike("[0-9]{3}|@|[0-9][./][0-9]|[+][2-9]|[A-Z]{2}[0-9]{2}")  # every candidate has one of these
-    found = docs.withColumn(
-        "_found", F.when(some, F.transform(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)), lambda m: _replaced(m, net)))
-    )
-    parts = F.split(body, CANDIDATE, -1)
-    news = F.array_append(F.transform("_found", lambda f: f["new"]), F.lit(""))
-    joined = F.array_join(F.zip_with(parts, news, lambda a, b: F.concat(a, b)), "")
-    kinds = F.filter(F.transform("_found", lambda f: f["kind"]), lambda k: k.isNotNull())
+
+    def account(m: Column) -> Column:
+        valid, new = _iban(m, net)
+        found = F.struct(new.alias("new"), F.lit("iban").alias("kind"), F.lit(_MARK).alias("left"))
+        return F.when(valid, found).otherwise(F.struct(m.alias("new"), F.lit(None).cast("string").alias("kind"), m.alias("left")))
+
+    def matches(column: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(column, F.lit(pattern), F.lit(0))
+
+    def put(column: Column, pattern: str, news: Column) -> Column:
+        parts = F.split(column, pattern, -1)
+        return F.array_join(F.zip_with(parts, F.array_append(news, F.lit("")), lambda a, b: F.concat(a, b)), "")
+
+    accounts = f"{_MARK}|{_IBAN}"
+    found = docs.withColumn("_accounts", F.when(some, F.transform(matches(body, accounts), account)))
+    found = found.withColumn("_rest", F.when(F.size("_accounts") > 0, put(body, accounts, F.transform("_accounts", lambda f: f["left"]))).otherwise(body))
+    rest = F.col("_rest")
+    found = found.withColumn("_found", F.when(some, F.transform(matches(rest, CANDIDATE), lambda m: _replaced(m, net))))
+    marked = F.filter("_accounts", lambda f: f["left"] == _MARK)
+    written = put(rest, CANDIDATE, F.transform("_found", lambda f: f["new"]))
+    written = F.when(F.size(marked) > 0, put(written, _MARK, F.transform(marked, lambda f: f["new"]))).otherwise(written)
+    each = F.concat(F.transform("_accounts", lambda f: f["kind"]), F.transform("_found", lambda f: f["kind"]))
+    kinds = F.filter(each, lambda k: k.isNotNull())
     changed = F.size(kinds) > 0
     return (
         found.withColumn("n_private", F.coalesce(F.size(kinds), F.lit(0)).cast("long"))
         .withColumn("private_kinds", F.coalesce(F.array_join(F.array_sort(F.array_distinct(kinds)), ","), F.lit("")))
-        .withColumn(text, F.when(changed, joined).otherwise(body))
-        .drop("_found")
+        .withColumn(text, F.when(changed, written).otherwise(body))
+        .drop("_accounts", "_rest", "_found")
     )

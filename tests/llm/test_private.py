@@ -189,3 +189,23 @@ def test_each_form_alone_in_a_text(spark):
     assert not any(t == v for (t, _, _), v in zip(got, alone, strict=True))
     (a, _, _), (b, _, _) = run(spark, [f"call {alone[0]}", f"call {alone[0]} room 4711"])
     assert b == f"{a} room 4711"  # equal values stay linked
+
+
+def test_account_numbers_before_other_words_and_values(spark):
+    alone = ["BE68539007547034", "BE68 5390 0754 7034", "AT611904300234573201", "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32"]
+    after = [" EUR 500", " PAID", " 2024", " AB", ". X", " BE68539007547034"]
+    for tail in after[:-1]:
+        assert [t for t, _, _ in run(spark, [v + tail for v in alone])] == [plain_iban(v) + tail for v in alone]
+    got = run(spark, [v + after[-1] for v in alone])
+    assert [(t, n) for t, n, _ in got] == [(f"{plain_iban(v)} {plain_iban(alone[0])}", 2) for v in alone]
+
+
+def test_values_behind_what_is_no_account_number(spark):
+    phone, card, mail = "415-555-2671", "4918 1871 2863 5271", "KFSLG@mail0.example.com"
+    got = run(spark, [f"REF AB12 CDEF GHIJ {v}" for v in (phone, card, mail, "BE68 5390 0754 7034")])
+    assert [k for _, _, k in got] == ["phone", "card", "email", "iban"]
+    assert got[0][0] == f"REF AB12 CDEF GHIJ {plain_phone(phone)}" and got[3][0] == f"REF AB12 CDEF GHIJ {plain_iban('BE68 5390 0754 7034')}"
+    mark = private._MARK
+    (text, n, _), (same, none, _) = run(spark, [f"{mark}x BE68539007547034{mark} a {phone}", f"a{mark} {mark}12"])
+    assert (text, n) == (f"{mark}x {plain_iban('BE68539007547034')}{mark} a {plain_phone(phone)}", 2)
+    assert (same, none) == (f"a{mark} {mark}12", 0)
