@@ -11,7 +11,7 @@ article either. Words of the region that stand below such features, or below oth
 
 The text: character references decoded, white space in a block turned into one space, blocks trimmed and joined in page order by two
 line ends. Line-break and inline tags do not end a block. Whole pages are read, whatever their length; cut-off tags,
-comments and scripts run to the page's end. Null, empty and text-free pages give an empty text. Repeated rows are read each by
+comments and scripts run to the page's end, a head without its end tag to <body> or the first element or text that a head cannot hold. Null, empty and text-free pages give an empty text. Repeated rows are read each by
 itself. Extra columns pass through; one with the name of an output is replaced.
 """
 
@@ -27,6 +27,9 @@ from pyspark.sql.types import LongType, StringType
 
 from folioscope.llm.common import appended, gather, with_columns
 
+#: Elements that may stand in a head; any other ends an open one.
+IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+
 #: Elements by which a page marks its content.
 LABELS = {"article", "main"}
 
@@ -119,12 +122,21 @@ class Walk:
         self.stack: list[tuple[str, tuple[str, ...]]] = []
 
     def open(self, name: str, own: tuple[str, ...]) -> None:
+        if name not in IN_HEAD:
+            self.close("head")  # its end tag may be left out
         if name in VOID:
             return
         if name not in INLINE:
             self._end({"p"} | ENDED_BY.get(name, set()), {"ul", "ol", "dl", "table"} if name in ENDED_BY else set())
         self.stack.append((name, own))
 
+    def text(self, value: str) -> bool:
+        """Whether the text ends an open head, as all but white space in the head itself does."""
+        ended = bool(self.stack) and self.stack[-1][0] == "head" and bool(value.strip(" \t\n\r\f"))
+        if ended:
+            self.stack.pop()
+        return ended
+
     def _end(self, names: set[str], within: set[str]) -> None:
         # an unclosed paragraph or item, with the inline elements left open in it
         for i in range(len(self.stack) - 1, -1, -1):
@@ -165,6 +177,8 @@ def count_features(page: str, held: dict[str, list[int]]) -> None:
             continue
         if kind == "open":
             walk.open(value, own)
+        else:
+            walk.text(value)
         place, above = walk.above()
         inside = place == "in" and not walk.boilerplate()
         if kind == "open":
@@ -267,6 +281,9 @@ def extract(page: str | None, model: Model, without_mark: Model) -> str:
     total, begin, best, region = 0.0, 0, 0.0, (0, 0)
     for kind, value, own in events(page):
         if kind == "text":
+            if unread and walk.text(value):
+                score, content = model.word_score(walk)
+                unread = any(name in UNREAD for name, _ in walk.stack)
             if unread:
                 continue
             text = html.unescape(value)

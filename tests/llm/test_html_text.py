@@ -93,3 +93,25 @@ def test_edge_tables(spark):
     assert found.columns == ["page_id", "html", "text", "n_chars"]
     assert sorted((r.page_id, r.text, r.n_chars) for r in found.collect()) == [(1, "", 0), (2, "x y", 3), (2, "x y", 3)]
     assert H.main_text(pages.limit(0), H.fit(pages.limit(0))).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body><p>{WORDS}</p></body></html>",
+        f"<head><title>T</title><link rel=x><style>p{{}}</style><p>{WORDS}",
+        f"<head><script>x()</script>\n<article><p>{WORDS}</p></article>",
+        f"<head><title>T</title>\n {WORDS}",
+        f"<head><title>T</title><img src=x><span>{WORDS}</span>",
+        f"<head><title>T</title></head><body><p>{WORDS}</p>",
+    ],
+)
+def test_a_head_without_its_end_tag(page):
+    assert read(page) == WORDS
+
+
+def test_labelled_pages_without_the_end_of_the_head_are_learned_from():
+    held = [{}, {}]
+    for end, counts in zip(("</head>", ""), held, strict=True):
+        H.count_features(f"<html><head><title>T</title>{end}<body><div class=x>a b</div><article><p>{WORDS}</p></article>", counts)
+    assert held[1] == held[0] and held[1]["in tag:p"][2] > 0
