@@ -1,0 +1,108 @@
+"""The trie of conversation prefixes against a plain one built in memory."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from folioscope.llm import conversations
+from folioscope.llm.common import open_docs
+from folioscope.session import fresh_path
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def plain_rebuilt(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn, role or "", text or ""))
+
+    def order(t):
+        body = f"{len(t[1].encode())}:{t[1]}{t[2]}".encode()
+        return (t[0] is not None, t[0] or 0, hashlib.md5(body).digest())
+
+    turns = {c: [t[1:] for t in sorted(ts, key=order)] for c, ts in own.items()}
+    out = {}
+    for c, ts in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        out[c] = turns.get(base, [])[:h] + ts[h:]
+    return out
+
+
+def plain_trie(rebuilt):
+    members = defaultdict(list)
+    for c, seq in rebuilt.items():
+        for d in range(len(seq) + 1):
+            members[tuple(seq[:d])].append(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, own in members.items():
+        value = (len(own) - 1) * len(node[-1][1].encode()) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += value
+    out = []
+    for node, own in members.items():
+        ends = sorted(c for c in own if len(rebuilt[c]) == len(node))
+        digest = hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(own), len(node), parent, len(own), children[node], leaves[node], saved[node], digest))
+    return sorted(out, key=str)
+
+
+def as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def check(df, rows):
+    assert as_rows(conversations.trie(df)) == plain_trie(plain_rebuilt(rows))
+
+
+def test_cases(frame):
+    rows = [
+        (0, 0, "user", "hello"), (0, 1, "bot", "hi"), (0, None, "system", "first"), (1, 0, "user", "hello"), (2, 5, None, None),
+        (2, 5, "", ""), (2, 5, "x", "tie"), (3, 0, "user", "é中🙂"), (4, 1, "us", "erx"), (4, 1, "user", "x"), (9, 0, "user", "alone"),
+        (11, 0, "user", "no base"), (12, 0, "a", "1"), (12, 1, "a", "2"), (12, 2, "a", "3"), (None, 0, "user", "nobody"),
+        (-3, 0, "user", "below zero"), (-5, 0, "user", "base below zero"), (0, 0, "user", "hello"),
+    ]
+    rows += [(c, t, "user" if t % 2 == 0 else "bot", f"turn {t} " * 50) for c in range(20, 60) for t in range(c % 12)]
+    rows += [(c, t, "user", f"same {t}") for c in range(100, 140) for t in range(30)]
+    clash = frame([(*r, 7, "k") for r in rows], SCHEMA + ", depth int, body string")
+    check(clash, rows)
+    check(clash.repartition(7), rows)
+
+
+def test_long_conversation_and_long_text(frame):
+    rows = [(c, t, "user", f"t{t}") for c in (0, 1, 2) for t in range(700)] + [(3, 0, "user", "long " * 200_000)]
+    check(frame(rows, SCHEMA), rows)
+
+
+def test_empty_tables(frame):
+    assert as_rows(conversations.trie(frame([], SCHEMA))) == []
+    assert as_rows(conversations.trie(frame([(None, 1, "a", "b")], SCHEMA))) == []
+
+
+def test_whole_table(spark, data):
+    df = open_docs(spark, data, "conversations")
+    check(df, [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+
+
+@pytest.mark.parametrize("ids", [[5], [4095, 4096, -1, -4096, -4097, 0], list(range(0, 30_000, 3))])
+def test_end_lists_are_hashed_in_order(spark, frame, ids):
+    ends = frame([(i, 2, 1, 1) for i in reversed(ids)] + [(7, 3, 1, 1)], "conv_id long, depth long, x1 long, x2 long").repartition(5)
+    path = fresh_path(spark, "ends")
+    conversations.end_digests(ends).write.parquet(path)
+    found = {r["depth"]: r["ends_sha256"] for r in spark.read.parquet(path).collect()}
+    assert found == {2: hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest(), 3: hashlib.sha256(b"7").hexdigest()}
+
+
+def test_texts_are_hashed_at_the_scan(spark, data, plan_of):
+    plan = plan_of(conversations.ordered_turns(open_docs(spark, data, "conversations")))
+    exchanges = [line for block in plan.split("\n\n") if ") Exchange" in block for line in block.splitlines() if "Input" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
