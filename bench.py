@@ -55,6 +55,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="8g",
+        spark__folioscope__inputPartitions=cpus,
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

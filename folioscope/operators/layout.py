@@ -4,7 +4,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.session import fresh_path
@@ -19,6 +19,20 @@ def repartition_n(df: DataFrame, n: int = 0) -> DataFrame:
     return df.repartition(n) if n > 0 else df
 
 
+def input_partitions(spark: SparkSession) -> int:
+    """The setting ``spark.folioscope.inputPartitions``: into how many parts a job deals texts that it read. 0 (off) by default.
+
+    Files of one row group are read by one task, whatever their size; dealing
+    the rows out costs one shuffle of the texts and lets every core tokenise.
+    """
+    return int(spark.conf.get("spark.folioscope.inputPartitions", "0"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition for each core, for rows that are read again and again."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, partition_count(df)))
+
+
 def partition_count(df: DataFrame) -> int:
     """Partitions of a frame; for one read straight from files, no job is run."""
     return df.rdd.getNumPartitions()

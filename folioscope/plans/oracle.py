@@ -401,6 +401,16 @@ JOIN (SELECT main_category,
   ON e.main_category = ranks.main_category"""
 )
 
+ORACLE["label_index_topics"] = _sql(
+    "articles",
+    """
+SELECT id, a.main_category, label
+FROM (SELECT id, concat_ws(' ', category, update_date) AS main_category FROM articles) a
+JOIN (SELECT main_category, CAST(row_number() OVER (ORDER BY count(*) DESC, main_category) - 1 AS DOUBLE) AS label
+      FROM (SELECT concat_ws(' ', category, update_date) AS main_category FROM articles) c GROUP BY main_category) ranks
+  ON a.main_category = ranks.main_category""",
+)
+
 _QUOTED = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
 _TOKENS = f"list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]'), lambda w: w <> '')"
 LABELLED = "labelled AS (SELECT id, lang, text FROM article_texts)"
@@ -424,12 +434,49 @@ def _texts(body: str, *ctes: str) -> str:
 
 ORACLE["tokenise"] = _texts("SELECT id, array_to_string(tokens, ' ') AS tokens FROM words", WORDS)
 ORACLE["stop_words"] = _texts("SELECT id, array_to_string(words, ' ') AS words FROM words", WORDS)
-ORACLE["hashed_counts"] = _texts("SELECT id, CAST(len(words) AS BIGINT) AS words_counted FROM words", WORDS)
+# The hash of a word (MurmurHash3, 32 bits, seed 42), written out over its ASCII codes: blocks of four, then the rest.
+_TIMES = "((({0}) * {1}::UBIGINT) & 4294967295)"
+_TURN = "(((({0}) << {1}) & 4294967295) | (({0}) >> (32 - {1})))"
+
+
+def _mixed(block: str) -> str:
+    product = _TIMES.format(block, 3432918353)
+    return _TIMES.format(_TURN.format(product, 15), 461845907)
+
+
+MURMUR = f"""distinct_words AS (SELECT DISTINCT unnest(words) AS word FROM words),
+coded AS (SELECT word, list_transform(string_split(word, ''), lambda x: ascii(x)::UBIGINT) AS b, length(word) AS n FROM distinct_words),
+blocked AS (
+    SELECT word, n, list_transform(range(0, n // 4),
+               lambda i: b[4 * i + 1] | (b[4 * i + 2] << 8) | (b[4 * i + 3] << 16) | (b[4 * i + 4] << 24)) AS blocks,
+           CASE n % 4 WHEN 0 THEN 0::UBIGINT WHEN 1 THEN b[n] WHEN 2 THEN b[n - 1] | (b[n] << 8)
+                      ELSE b[n - 2] | (b[n - 1] << 8) | (b[n] << 16) END AS rest
+    FROM coded),
+body AS (
+    SELECT word, n, rest, list_reduce([42::UBIGINT] || blocks,
+               lambda h, k: ({_TIMES.format(_TURN.format("xor(h, " + _mixed("k") + ")", 13), 5)} + 3864292196) & 4294967295) AS h
+    FROM blocked),
+tail AS (SELECT word, xor(CASE WHEN n % 4 = 0 THEN h ELSE xor(h, {_mixed("rest")}) END, n::UBIGINT) AS h FROM body),
+first_mix AS (SELECT word, {_TIMES.format("xor(h, h >> 16)", 2246822507)} AS h FROM tail),
+second_mix AS (SELECT word, {_TIMES.format("xor(h, h >> 13)", 3266489909)} AS h FROM first_mix),
+hashes AS (SELECT word, xor(h, h >> 16)::BIGINT AS h FROM second_mix),
+slots AS (SELECT word, CAST((((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 20) + 20) % 20 AS INTEGER) AS slot FROM hashes)"""
+ORACLE["hashed_counts"] = _texts(
+    """
+SELECT id, slot, count(*) AS n
+FROM (SELECT id, unnest(words) AS word FROM words) w JOIN slots ON slots.word = w.word GROUP BY id, slot""",
+    WORDS,
+    MURMUR,
+)
 ORACLE["term_counts"] = _texts("SELECT id, term, tf FROM terms", WORDS, TERMS)
 ORACLE["vocabulary"] = _texts('SELECT term, "count", df, round(idf, 9) AS idf FROM stats', WORDS, TERMS)
+ORACLE["term_dictionary"] = _texts(
+    'SELECT row_number() OVER (ORDER BY "count" DESC, term) - 1 AS term_id, term, "count", df FROM stats', WORDS, TERMS
+)
 ORACLE["idf_weight"] = _texts(
     "SELECT id, t.term, round(tf * idf, 9) AS weight FROM terms t JOIN stats s ON t.term = s.term", WORDS, TERMS
 )
+ORACLE["idf_weight_two_part"] = ORACLE["idf_weight"]
 
 # --- learning ------------------------------------------------------------------------------
 
@@ -480,16 +527,6 @@ BY_CATEGORY = """labelled AS (
 
 ORACLE["classify_nb"] = _texts(BAYES, WORDS, HELD_OUT, EVIDENCE)
 ORACLE["classify_nb_category"] = _sql("article_texts taxonomy", BAYES, BY_CATEGORY, WORDS, HELD_OUT, EVIDENCE)
-# Iterative learners: the rows, their labels, and that every prediction is a label.
-ORACLE["classify_lr"] = _texts(
-    """
-SELECT id, lang AS main_category, own.label, true AS known_prediction
-FROM test JOIN classes own ON own.class = lang""",
-    WORDS,
-    HELD_OUT,
-)
-ORACLE["classify_rf"] = ORACLE["classify_lr"]
-ORACLE["classify_gbt"] = ORACLE["classify_lr"]
 ORACLE["model_save"] = ORACLE["classify_nb"]
 ORACLE["model_load"] = ORACLE["classify_nb"]
 ORACLE["metric_accuracy"] = _sql(

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import (
@@ -19,7 +19,7 @@ from folioscope.functions import (
     text_concat,
 )
 from folioscope.functions.categories import DEFAULT_MAIN_CATEGORY, MAIN_CATEGORIES
-from folioscope.operators import dedupe, evaluate, joins, layout, learn, profile, splits, terms, trends
+from folioscope.operators import dedupe, evaluate, joins, labels, layout, learn, positions, profile, splits, terms, trends
 from folioscope.operators import upsert as merging
 from folioscope.operators.enrich import drop_helpers, enrich_articles, filter_null
 from folioscope.plans.views import open_table, open_view
@@ -81,8 +81,8 @@ def _categorised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Rows with their place in an order; for small, grouped frames."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    """Rows with their place in an order, from 1."""
+    return positions.with_positions(df, *order, start=1).withColumn("position", F.col("position").cast("int"))
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -538,7 +538,14 @@ def random_split(spark, sf_dir):
 @query("label_index")
 def label_index(spark, sf_dir):
     enriched = _enriched(spark, sf_dir).select("id", "main_category")
-    return learn.label_index(enriched).transform(enriched)
+    return labels.with_label(enriched, labels.label_table(enriched))
+
+
+@query("label_index_topics")
+def label_index_topics(spark, sf_dir):
+    """Labels of which there may be any number, joined by shuffle: codes and update dates together."""
+    articles = _articles(spark, sf_dir).select("id", F.concat_ws(" ", "category", "update_date").alias("main_category"))
+    return labels.with_label(articles, labels.label_table(articles), broadcast_bytes=0)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> int:
@@ -546,7 +553,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> int:
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.document_words(open_view(spark, sf_dir, "article_texts").select("id", "text"))
+    texts = open_view(spark, sf_dir, "article_texts").select("id", "text")
+    return terms.document_words(layout.repartition_n(texts, layout.input_partitions(spark)))
 
 
 @query("tokenise")
@@ -574,21 +582,39 @@ def vocabulary(spark, sf_dir):
     return statistics.withColumn("idf", F.round("idf", 9))
 
 
+def _weights(spark: SparkSession, sf_dir: str, broadcast_bytes: int = layout.BROADCAST_BYTES) -> DataFrame:
+    document_terms = terms.stored_terms(terms.document_terms(_words(spark, sf_dir)))
+    documents = _documents(spark, sf_dir)
+    dictionary = terms.term_dictionary(terms.weighted_statistics(document_terms, documents))
+    encoded = terms.encoded_terms(document_terms, dictionary, documents, broadcast_bytes=broadcast_bytes)
+    return encoded.select("id", "term", F.round(F.col("tf") * F.col("idf"), 9).alias("weight"))
+
+
 @query("idf_weight")
 def idf_weight(spark, sf_dir):
     """tf-idf weight of every term of every document."""
-    document_terms = terms.stored_terms(terms.document_terms(_words(spark, sf_dir)))
-    statistics = terms.weighted_statistics(document_terms, _documents(spark, sf_dir))
-    return terms.weighted_terms(document_terms, statistics).withColumn("weight", F.round("weight", 9))
+    return _weights(spark, sf_dir)
+
+
+@query("idf_weight_two_part")
+def idf_weight_two_part(spark, sf_dir):
+    """The same as it runs beyond the broadcast size: heavy terms sent to the tasks, the tail shuffled."""
+    return _weights(spark, sf_dir, broadcast_bytes=0)
+
+
+@query("term_dictionary")
+def term_dictionary(spark, sf_dir):
+    """Every term with its number by falling count."""
+    counted = terms.term_statistics(terms.document_terms(_words(spark, sf_dir), keep=()))
+    return terms.term_dictionary(counted).select("term_id", "term", "count", "df")
 
 
 @query("hashed_counts")
 def hashed_counts(spark, sf_dir):
-    """Words counted per document over all hash slots; the slots themselves are checked in the tests."""
+    """Words counted per document and hash slot."""
     hashing = learn.HashingTF(numFeatures=HASH_SLOTS, inputCol="words", outputCol="counts")
-    counted = hashing.transform(_words(spark, sf_dir))
-    total = F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda s, x: s + x)
-    return counted.select("id", total.cast("long").alias("words_counted"))
+    counted = hashing.transform(_words(spark, sf_dir)).select("id", F.posexplode(vector_to_array("counts")).alias("slot", "n"))
+    return counted.where("n > 0").select("id", "slot", F.col("n").cast("long").alias("n"))
 
 
 # --- learning ------------------------------------------------------------------------------
@@ -600,13 +626,6 @@ def _held_out_predictions(labelled: DataFrame, kind: str, **params):
     return model, learn.predict(model, testing)
 
 
-def _known_predictions(spark, sf_dir, kind: str) -> DataFrame:
-    """Held-out rows with their label, and whether the prediction is one of the labels."""
-    model, predictions = _held_out_predictions(_labelled(spark, sf_dir), kind)
-    known = F.col("prediction").isin([float(k) for k in range(len(model.stages[0].labels))])
-    return predictions.select("id", "main_category", "label", known.alias("known_prediction"))
-
-
 @query("classify_nb")
 def classify_nb(spark, sf_dir):
     return _held_out_predictions(_labelled(spark, sf_dir), "NB")[1]
@@ -620,18 +639,18 @@ def classify_nb_category(spark, sf_dir):
 
 @query("classify_lr")
 def classify_lr(spark, sf_dir):
-    return _known_predictions(spark, sf_dir, "LR")
+    return _held_out_predictions(_labelled(spark, sf_dir), "LR")[1]
 
 
 @query("classify_rf")
 def classify_rf(spark, sf_dir):
-    return _known_predictions(spark, sf_dir, "RF")
+    return _held_out_predictions(_labelled(spark, sf_dir), "RF")[1]
 
 
 @query("classify_gbt")
 def classify_gbt(spark, sf_dir):
-    """One boosted model of 100 rounds for each class."""
-    return _known_predictions(spark, sf_dir, "GBT")
+    """One boosted model of 100 rounds for each class, four at a time."""
+    return _held_out_predictions(_labelled(spark, sf_dir), "GBT", parallelism=4)[1]
 
 
 @query("model_save")
