@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import primary_category
 from folioscope.operators.dedupe import one_row_per_key
 from folioscope.operators.layout import BROADCAST_BYTES, fits_broadcast
+from folioscope.operators.prune import pruned_anti_join
 
 #: Parts a taxonomy row is copied into when both sides of the join are shuffled.
 SALTS = 32
@@ -63,7 +64,9 @@ def taxonomy_join_broadcast(
 
 
 def unmatched_articles(articles: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Articles whose first code the taxonomy does not list: what the inner join leaves out."""
+    """Articles whose first code the taxonomy does not list: what the inner join leaves out.
+
+    Codes that a bitmap of the taxonomy's rules out need no join.
+    """
     keyed = articles.withColumn("_code", primary_category("category"))
-    codes = taxonomy.select(F.col("sub_category").alias("_code")).distinct()
-    return keyed.join(codes, "_code", "left_anti").drop("_code")
+    return pruned_anti_join(keyed, taxonomy, "_code", "sub_category").drop("_code")

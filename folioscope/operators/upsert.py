@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators.layout import BROADCAST_BYTES, row_bytes
+from folioscope.operators.layout import BROADCAST_BYTES, row_bytes, stored
 from folioscope.sources.tables import read_table, write_table
 
 SET_COLUMNS = ("label", "prediction")
@@ -111,6 +111,71 @@ def upsert_snapshot(
     return read_table(spark, destination)
 
 
+#: Key-hash folders of a table, unless told otherwise.
+FOLDERS = 64
+
+_FOLDER = "folder_of_"
+
+
+def folder_of(key: str, folders: int) -> Column:
+    """The folder of a row: by the key's hash, and one more for rows without a key."""
+    return F.when(F.col(key).isNull(), F.lit(folders)).otherwise(F.pmod(F.xxhash64(key), F.lit(folders)).cast("int"))
+
+
+def write_folders(df: DataFrame, path: str, key: str = "id", folders: int = FOLDERS, mode: str = "errorifexists") -> None:
+    """Write a table as one folder per key hash; the folder column's name says how many there are.
+
+    The rebalance hint gathers each folder's rows and lets adaptive execution
+    split one that a hot key fills.
+    """
+    column = f"{_FOLDER}{folders}"
+    spread = df.withColumn(column, folder_of(key, folders)).hint("rebalance", column)
+    writer = spread.write.mode(mode).partitionBy(column)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def read_folders(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by write_folders, without its folder column."""
+    table = spark.read.parquet(path)
+    return table.drop(_folder_column(table))
+
+
+def _folder_column(table: DataFrame) -> str:
+    found = [c for c in table.columns if c.startswith(_FOLDER)]
+    if not found:
+        raise ValueError("the table is not laid out in key-hash folders")
+    return found[-1]
+
+
+def upsert_folders(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    key: str = "id",
+    set_columns: Sequence[str] = SET_COLUMNS,
+    insert_columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Upsert into a table of key-hash folders, rewriting only those that hold a key of the updates.
+
+    The others are neither read nor written. The new rows of the touched
+    folders are stored completely before any folder is replaced. A job that
+    dies while folders are replaced leaves some of them old; running the same
+    upsert again finishes it, as matching and inserting by key come to the same
+    twice (updates without a key would be inserted again). ``updates`` is read
+    several times: pass a stored frame.
+    """
+    table = spark.read.parquet(path)
+    column = _folder_column(table)
+    folders = int(column.removeprefix(_FOLDER))
+    touched = [r[0] for r in updates.select(folder_of(key, folders).alias("f")).distinct().collect()]  # one per folder
+    target = table.where(F.col(column).isin(touched)).drop(column)
+    merged = stored(upsert(target, updates, key, set_columns, insert_columns), "merged-folders")
+    write_folders(merged, path, key, folders, mode="overwrite")
+    return read_folders(spark, path)
+
+
 def upsert_delta(
     spark: SparkSession,
     path: str,

@@ -181,6 +181,7 @@ FULL OUTER JOIN (SELECT *, true AS in_updates FROM new_predictions) u ON t.id =
 
 
 ORACLE["upsert"] = _merged("NULL")
+ORACLE["upsert_folders"] = ORACLE["upsert"]
 ORACLE["upsert_insert_all"] = _merged("u.title")
 
 # --- projections and filters ---------------------------------------------------------------
@@ -291,6 +292,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY id
       FROM revisions) r
 WHERE place = 1""",
 )
+ORACLE["dedupe_by_id_shuffled"] = ORACLE["dedupe_by_id"]
 ORACLE["sort_mixed"] = _sql(
     "articles",
     """

@@ -19,7 +19,7 @@ from folioscope.functions import (
     text_concat,
 )
 from folioscope.functions.categories import DEFAULT_MAIN_CATEGORY, MAIN_CATEGORIES
-from folioscope.operators import dedupe, evaluate, joins, labels, layout, learn, positions, profile, splits, terms, trends
+from folioscope.operators import dedupe, evaluate, joins, labels, layout, learn, positions, profile, prune, splits, terms, trends
 from folioscope.operators import upsert as merging
 from folioscope.operators.enrich import drop_helpers, enrich_articles, filter_null
 from folioscope.plans.views import open_table, open_view
@@ -231,6 +231,15 @@ def upsert_insert_all(spark, sf_dir):
     return _upsert(spark, sf_dir, None)
 
 
+@query("upsert_folders")
+def upsert_folders(spark, sf_dir):
+    """The same upsert on a table of key-hash folders, in place."""
+    path = fresh_path(spark, "prediction-folders")
+    merging.write_folders(open_view(spark, sf_dir, "stored_predictions"), path)
+    updates = layout.stored(open_view(spark, sf_dir, "new_predictions"), "updates")
+    return merging.upsert_folders(spark, path, updates, insert_columns=PREDICTION_SCHEMA.fieldNames())
+
+
 # --- projections and filters ---------------------------------------------------------------
 
 
@@ -320,10 +329,10 @@ def taxonomy_unmatched(spark, sf_dir):
 @query("merge_match")
 def merge_match(spark, sf_dir):
     """Rows of the stored table that updates match, with old and new prediction."""
-    stored = open_view(spark, sf_dir, "stored_predictions")
+    target = open_view(spark, sf_dir, "stored_predictions").select("id", "prediction")
     updates = open_view(spark, sf_dir, "new_predictions")
-    renamed = updates.select("id", F.col("prediction").alias("new_prediction"))
-    return stored.join(renamed, "id").select("id", "prediction", "new_prediction")
+    renamed = layout.stored(updates.select("id", F.col("prediction").alias("new_prediction")), "updates")
+    return prune.pruned_join(target, renamed, "id").select("id", "prediction", "new_prediction")
 
 
 # --- aggregations, sorts -------------------------------------------------------------------
@@ -385,6 +394,12 @@ def dedupe_by_id(spark, sf_dir):
     return dedupe.dedupe_by_id(open_view(spark, sf_dir, "revisions"))
 
 
+@query("dedupe_by_id_shuffled")
+def dedupe_by_id_shuffled(spark, sf_dir):
+    """As it runs when too many identifiers repeat for a broadcast."""
+    return dedupe.dedupe_by_id(open_view(spark, sf_dir, "revisions"), broadcast_bytes=0)
+
+
 @query("sort_mixed")
 def sort_mixed(spark, sf_dir):
     counts = trends.count_by(_articles(spark, sf_dir), "lang", primary_category().alias("code"))

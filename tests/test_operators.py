@@ -76,9 +76,37 @@ def test_dedupe_keeps_the_first_row_whatever_the_partitioning(spark, data):
     assert rows(dedupe.dedupe_by_id(df.repartition(3))) == expected
 
 
-def test_dedupe_combines_before_the_shuffle(spark, plan_of):
-    plan = plan_of(dedupe.dedupe_by_id(hot_articles(spark)))
-    assert "partial_min" in plan and "Window" not in plan
+@few
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["2020-01-01", "2020-01-02", "é", "", None]), st.integers(0, 3)), max_size=40))
+def test_election_equals_the_plain_aggregate(spark, data):
+    df = spark.createDataFrame(data, "id string, update_date string, n int").repartition(3)
+    expected = rows(dedupe.one_row_per_key(df, ["id"], ["update_date"]))
+    assert rows(dedupe.dedupe_by_id(df)) == expected
+    assert rows(dedupe.dedupe_by_id(df, broadcast_bytes=0)) == expected
+    by_number = rows(dedupe.one_row_per_key(df, ["id"], ["n"]))
+    assert rows(dedupe.elected_row_per_key(df, "id", ["n"])) == by_number
+
+
+def test_order_numbers_never_fall(spark):
+    values = ["", "\x00", "a", "a\x00", "ab", "abcdefg", "abcdefgh", "abcdefgz", "b", "é", "中", None]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    found = df.select("s", dedupe.order_number("s", df.schema["s"].dataType).alias("n")).orderBy(F.asc_nulls_first("s")).collect()
+    numbers = [r["n"] for r in found]
+    assert numbers == sorted(numbers) and numbers[0] == -1 and len(set(numbers)) == 8
+
+
+def test_dedupe_moves_only_rows_of_repeated_keys(spark, tmp_path, plan_of):
+    path = str(tmp_path / "rows")
+    hot_articles(spark).write.parquet(path)
+    plan = plan_of(dedupe.dedupe_by_id(spark.read.parquet(path)))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+    assert plan.count(") Exchange") == 1
+
+
+def test_dedupe_of_a_hot_key(spark):
+    df = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE string(id) END AS id", "string(id % 100) AS update_date", "id AS n")
+    kept = dedupe.dedupe_by_id(df)
+    assert kept.count() == 20_001 and kept.where("id = 'hot'").first()["n"] == 0
 
 
 def test_null_profile_is_one_pass(spark, frame, plan_of):
