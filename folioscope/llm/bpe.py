@@ -13,6 +13,7 @@ column that has the name of an output is replaced.
 """
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -20,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from folioscope.llm.common import appended, slices, with_columns
@@ -28,6 +28,9 @@ from folioscope.llm.common import appended, slices, with_columns
 #: Entries that each of a worker's memo tables may hold (about 10 MB); a full one is emptied, which costs only time.
 MEMO = 80_000
 
+#: Pieces that a worker may remember from task to task where encoding is all that it does (about 80 MB).
+PIECE_MEMO = 400_000
+
 #: Identifiers that one leaf of the decoding tree takes.
 DECODE_LEAF = 4096
 
@@ -45,8 +48,9 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
 class Coder(dict):
     """Encodes pieces and decodes identifiers; as a dict it maps a piece (str) to its identifiers' bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = MEMO):
         super().__init__()
+        self.memo = memo
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
@@ -58,7 +62,7 @@ class Coder(dict):
         self.stable: dict[tuple[int, int], bool] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO:
+        if len(self) >= self.memo:
             self.clear()
         tokens = self.encode_bytes(piece.encode())
         ids = struct.pack(f"<{len(tokens)}I", *tokens)
@@ -187,15 +191,15 @@ def _merge_queue(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(out)
 
 
-_CODERS: dict[tuple[bytes, str], Coder] = {}
+_CODERS: dict[tuple[bytes, str, int], Coder] = {}
 
 
-def _coder(content: bytes, pattern: str) -> Coder:
-    """One coder for a vocabulary in a worker process; its memo tables are emptied at the end of a task."""
-    key = (content, pattern)
+def _coder(content: bytes, pattern: str, memo: int = MEMO) -> Coder:
+    """One coder for a vocabulary in a worker process."""
+    key = (content, pattern, memo)
     if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = Coder(parse_ranks(content), pattern)
+        _CODERS[key] = Coder(parse_ranks(content), pattern, memo)
     return _CODERS[key]
 
 
@@ -235,12 +239,24 @@ def decode(
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Per document: number of tokens, digest of the identifiers, digest of what they decode to."""
-    coded = encode(docs.select("doc_id", "text"), ranks_path, pattern).select("doc_id", "token_ids")
-    coded = decode(coded, ranks_path, pattern)
-    return coded.select(
-        "doc_id",
-        F.floor(F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("token_ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Per document: number of tokens, digest of the identifiers, digest of what they decode to.
+
+    Encoded, decoded and hashed in one pass over the texts; a worker keeps what it has learned of pieces for its next task.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(read_file(ranks_path))
+    narrow = docs.select("doc_id", "text")
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(shipped.value, pattern, PIECE_MEMO)
+        for batch in slices(batches):
+            rows = []
+            for text in batch.column("text").to_pylist():
+                ids = coder.encode(text) if text else b""
+                decoded = coder.decode(np.frombuffer(ids, "<u4"))
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            counted = zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)
+            made = [pa.array(column, arrow) for column, arrow in counted]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return narrow.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
