@@ -2,13 +2,16 @@
 
 Method: a text is a vector of byte n-grams (one to three bytes of its lower-cased letters, hashed to FEATURES places), weighted by
 TF-IDF and normalised. The labelled texts of each language are clustered into several centroids by spherical
-k-means. A text gets the language of the centroid with the highest cosine. It is rejected if its cosine is below what all but
-REJECT_QUANTILE of the language's own texts of at least its length reach. These are scored by centroids of texts that they
-are not among: each half of the sample by those of the other. Floors go by length, as short texts score lower. Where there are too few texts
-to tell (LEAST_MEMBERS as long, LEAST_SHORT as short), the floor is REJECT_FACTOR of the lowest.
+k-means. A text gets the language of the centroid with the highest cosine. It is rejected if its cosine is below the floor of that
+language for texts of its length. Floors come from the language's own texts, each scored by centroids of texts that it is
+not among (five folds, one for each text if there are fewer): the cosine that all but REJECT_QUANTILE of the texts of at least this length reach,
+drawn towards REJECT_FACTOR of itself where few texts are as long or as short (weight PRIOR against their number), never lower than the
+floor of a shorter length. MARGIN stays below every floor, so that the last bits of a cosine, which depend on the processor, decide nothing. A
+language with one text has no floor.
 
 Document frequencies come from all labelled texts. Only the clustering uses a bounded sample: ``sample`` texts of each language, those
-with the smallest hash of the identifier (of the text, where there is none). Whole texts are read, in slices of bounded size.
+with the smallest hash of the identifier (of the text, where there is none). Whole texts are read, in slices of bounded size. More than
+MAX_LANGUAGES labels are refused, as every task holds their centroids.
 
 Null texts and texts without a letter: ``und``, score 0, rejected. Without any labelled text everything is ``und``. Ties go to the
 alphabetically first language. Repeated rows are predicted each by itself. Extra columns pass through; one with the name of an
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
-from folioscope.llm.common import CHUNK_BYTES, appended, chunks, gather, text_bytes, with_columns
+from folioscope.llm.common import appended, chunks, gather, slices, text_bytes, with_columns
 
 #: Places that n-grams are hashed to.
 FEATURES = 1 << 13
@@ -36,12 +39,20 @@ SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
 
-#: A text is rejected if its cosine is below this quantile of its language's texts of its length and longer; below this part of
-#: that where they are too few.
-REJECT_FACTOR, REJECT_QUANTILE = 0.5, 0.001
+#: The share of a language's texts that may lie below its floor, and what the floor falls to where nothing is known of a length.
+REJECT_QUANTILE, REJECT_FACTOR = 0.001, 0.5
 
-#: Texts that a floor needs: of its length or longer, and of its length or shorter.
-LEAST_MEMBERS, LEAST_SHORT = 100, 5
+#: Texts that weigh as much as the prior; a text that is no longer than others counts for so many of those that are longer.
+PRIOR, SHORT_WEIGHT = 20, 20
+
+#: What a cosine may fall short of a floor.
+MARGIN = 1e-4
+
+#: Labels at most: four centroids of 32 KB for each are sent to every task.
+MAX_LANGUAGES = 500
+
+#: Rows and bytes of text that one numpy step takes; its tables hold FEATURES numbers for each row.
+STEP_ROWS, STEP_BYTES = 64, 1 << 17
 
 #: Lengths, as powers of two, that have floors of their own.
 LENGTHS = 24
@@ -61,16 +72,16 @@ def counts(texts: list[bytes]) -> np.ndarray:
     pieces = []
     for row, text in enumerate(texts):
         clean = _normal(text)
-        pieces += [(row, clean[i : i + CHUNK_BYTES + 2], CHUNK_BYTES) for i in range(0, len(clean), CHUNK_BYTES)]
-    for begin, end in chunks([p for _, p, _ in pieces]):
+        pieces += [(row, clean[i : i + STEP_BYTES + 2]) for i in range(0, len(clean), STEP_BYTES)]
+    for begin, end in chunks([p for _, p in pieces], STEP_BYTES):
         part = pieces[begin:end]
-        raw = np.frombuffer(b"".join(p for _, p, _ in part), np.uint8).astype(np.uint32)
-        sizes = np.array([len(p) for _, p, _ in part])
+        raw = np.frombuffer(b"".join(p for _, p in part), np.uint8).astype(np.uint32)
+        sizes = np.array([len(p) for _, p in part])
         owner = np.repeat(np.arange(len(part)), sizes)
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(raw.size)  # bytes to the end of the piece
-        own = np.repeat(sizes, sizes) - left < CHUNK_BYTES  # a slice's last two bytes begin no gram of its own
+        own = np.repeat(sizes, sizes) - left < STEP_BYTES  # a slice's last two bytes begin no gram of its own
         first = part[0][0]
-        rows = np.array([r for r, _, _ in part]) - first
+        rows = np.array([r for r, _ in part]) - first
         total = np.zeros((int(rows[-1]) + 1) * FEATURES, np.int64)
         code = np.zeros(raw.size, np.uint32)
         for n in (1, 2, 3):
@@ -82,6 +93,18 @@ def counts(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def steps(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of bounded number and, but for a single long text, of bounded size."""
+    for begin, end in chunks(texts, STEP_BYTES):
+        for b in range(begin, end, STEP_ROWS):
+            yield b, min(end, b + STEP_ROWS)
+
+
+def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """Normalised TF-IDF vectors, in double precision."""
+    return unit(counts(texts).astype(np.float64) * idf)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
@@ -96,12 +119,10 @@ class Model:
     def nearest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each text the best centroid and its cosine."""
         best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for begin, end in chunks(texts, CHUNK_BYTES // 2):
-            for b in range(begin, end, 256):
-                e = min(end, b + 256)
-                cosine = unit(counts(texts[b:e]) * self.idf) @ self.centroids.T
-                best[b:e] = cosine.argmax(axis=1)
-                score[b:e] = cosine.max(axis=1)
+        for begin, end in steps(texts):
+            cosine = vectors(texts[begin:end], self.idf) @ self.centroids.T
+            best[begin:end] = cosine.argmax(axis=1)
+            score[begin:end] = cosine.max(axis=1)
         return best, np.clip(score, 0.0, 1.0)
 
 
@@ -115,7 +136,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarra
     for _ in range(rounds):
         own = (x @ centres.T).argmax(axis=1)
         centres = np.array([unit(x[own == j].mean(axis=0)) if (own == j).any() else centres[j] for j in range(len(centres))])
-    return centres.astype(np.float32), (x @ centres.T).argmax(axis=1)
+    return centres, (x @ centres.T).argmax(axis=1)
 
 
 def length_class(texts: list[bytes]) -> np.ndarray:
@@ -123,27 +144,25 @@ def length_class(texts: list[bytes]) -> np.ndarray:
     return np.array([min(LENGTHS, len(_normal(t)).bit_length()) - 1 for t in texts], np.int64)
 
 
-def held_out_cosines(x: np.ndarray, clusters: int) -> np.ndarray:
-    """Of each unit vector the highest cosine with centroids of the other half; of few vectors with those of all."""
-    if len(x) < 2 * LEAST_MEMBERS:
-        return (x @ spherical_kmeans(x, clusters)[0].T).max(axis=1)
+def held_out_cosines(x: np.ndarray, clusters: int, folds: int = 5) -> np.ndarray:
+    """Of each unit vector the highest cosine with centroids of the other folds; 0 for a single vector."""
     out = np.zeros(len(x))
-    for half in (0, 1):
-        out[half::2] = (x[half::2] @ spherical_kmeans(x[1 - half :: 2], clusters)[0].T).max(axis=1)
+    folds = min(folds, len(x))
+    fold = np.arange(len(x)) % max(1, folds)
+    for f in range(folds if folds > 1 else 0):
+        out[fold == f] = (x[fold == f] @ spherical_kmeans(x[fold != f], clusters)[0].T).max(axis=1)
     return out
 
 
 def length_floors(cosine: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Lowest cosine, for each length, that is not rejected."""
+    """The floor of each length, from held-out cosines of texts and their lengths."""
     out = np.zeros(LENGTHS)
     for n in range(LENGTHS):
         longer = cosine[lengths >= n]
-        if n and longer.size < LEAST_MEMBERS:
-            out[n] = out[n - 1]
-            continue
-        known = longer.size >= LEAST_MEMBERS and (lengths <= n).sum() >= LEAST_SHORT
-        out[n] = (1.0 if known else REJECT_FACTOR) * float(np.quantile(longer, REJECT_QUANTILE, method="lower"))
-    return out
+        known = min(longer.size, SHORT_WEIGHT * int((lengths <= n).sum()))
+        reached = float(np.quantile(longer, REJECT_QUANTILE, method="lower")) if longer.size else 0.0
+        out[n] = reached * (known + PRIOR * REJECT_FACTOR) / (known + PRIOR)
+    return np.maximum.accumulate(out)
 
 
 def has_letter(text: Column) -> Column:
@@ -160,7 +179,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         total, n = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
             texts = text_bytes(batch.column("text"))
-            for begin, end in chunks(texts):
+            for begin, end in steps(texts):
                 total += (counts(texts[begin:end]) > 0).sum(axis=0)
             n += len(texts)
         if n:
@@ -174,9 +193,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     texts = found.pop(-1, 0)
     frequency = np.zeros(FEATURES)
     frequency[list(found)] = list(found.values())
-    idf = (np.log((1 + texts) / (1 + frequency)) + 1).astype(np.float32)
+    idf = np.log((1 + texts) / (1 + frequency)) + 1
 
     sizes = train.groupBy("lang").count()
+    if sizes.limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     spot = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.col("text")))
     share = F.least(F.lit(1.0), F.lit(2.0 * sample + 100) / F.col("count"))
     order = Window.partitionBy("lang").orderBy("spot", "text")
@@ -186,21 +207,34 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
         .where(F.pmod("spot", F.lit(1 << 30)) < share * F.lit(1 << 30))
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= sample)
-        .select("lang", "text")
+        .select("lang", "place", "text")
     )
 
+    def vectorise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], STEP_ROWS):
+                texts = text_bytes(part.column("text"))
+                rows = [counts([t])[0].tobytes() for t in texts]
+                kept = part.drop_columns(["text"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(length_class(texts), pa.int32()), pa.array(rows, pa.binary())],
+                    names=["lang", "place", "length", "grams"],
+                )
+
     def cluster(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = [t.encode() for t in sorted(rows["text"])]
-        vectors = unit(counts(texts) * idf)
-        centres, own = spherical_kmeans(vectors, clusters)
-        mixed = np.random.default_rng(0).permutation(len(vectors))  # halves that do not follow the order of the texts
-        floors = length_floors(held_out_cosines(vectors[mixed], clusters), length_class(texts)[mixed])
+        rows = rows.sort_values("place")
+        x = unit(np.array([np.frombuffer(g, np.float32) for g in rows["grams"]]).astype(np.float64) * idf)
+        centres, own = spherical_kmeans(x, clusters)
+        mixed = np.random.default_rng(0).permutation(len(x))  # folds that do not follow the order of the texts
+        floors = length_floors(held_out_cosines(x[mixed], clusters), rows["length"].to_numpy()[mixed])
         kept = [c.tobytes() for j, c in enumerate(centres) if (own == j).any()]
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": kept, "floors": [floors] * len(kept)})
 
-    rows = gather(some.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floors array<double>"))
+    # a group holds counts of fixed size, however long its texts are
+    grams = some.mapInArrow(vectorise, "lang string, place int, length int, grams binary")
+    rows = gather(grams.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floors array<double>"))
     rows.sort(key=lambda r: (r[0], bytes(r[1])))
-    centroids = np.array([np.frombuffer(c, np.float32) for _, c, _ in rows], np.float32).reshape(-1, FEATURES)
+    centroids = np.array([np.frombuffer(c) for _, c, _ in rows]).reshape(-1, FEATURES)
     return Model([r[0] for r in rows], centroids, np.array([r[2] for r in rows]).reshape(-1, LENGTHS), idf)
 
 
@@ -213,14 +247,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
-        for batch in batches:
+        for batch in slices(batches):
             lower = batch.column("_lower")
             texts = text_bytes(lower)
             known = np.array([len(own.languages) > 0 and t is not None for t in lower.to_pylist()], bool)
             best, score = own.nearest(texts) if known.any() else (np.zeros(len(texts), np.int64), np.zeros(len(texts)))
             names = [own.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
             sizes = length_class(texts)
-            out = [s < own.floors[b, n] if k else True for b, n, s, k in zip(best, sizes, score, known, strict=True)]
+            out = [s < own.floors[b, n] - MARGIN if k else True for b, n, s, k in zip(best, sizes, score, known, strict=True)]
             plain = batch.drop_columns(["_lower"])
             yield appended(
                 plain,

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from folioscope.llm import langid
@@ -38,7 +39,7 @@ def test_counts_agree_with_a_plain_count(monkeypatch):
             code = int.from_bytes(clean[i : i + n], "big")
             plain[((code + n) * langid._SALT[n - 1] % 2**32) >> int(langid._SHIFT)] += 1
     assert (langid.counts([text])[0] == plain).all()
-    monkeypatch.setattr(langid, "CHUNK_BYTES", 7)  # slices of a long text change nothing
+    monkeypatch.setattr(langid, "STEP_BYTES", 7)  # slices of a long text change nothing
     assert (langid.counts([b"", text, text])[1:] == plain).all()
 
 
@@ -89,3 +90,67 @@ def test_junk_and_unlearned_languages_in_latin_letters_are_rejected(spark):
     clean = langid.predict(docs.where(held & langid.has_letter(F.col("text"))).drop("lang"), model)
     share = clean.agg(F.avg(F.col("rejected").cast("int"))).first()[0]
     assert share < 0.01
+
+
+def plain_nearest(model, text):
+    """The definition, one n-gram at a time."""
+    clean = langid._normal(text.lower().encode())
+    x = np.zeros(langid.FEATURES)
+    for n in (1, 2, 3):
+        for i in range(len(clean) - n + 1):
+            code = int.from_bytes(clean[i : i + n], "big")
+            x[((code + n) * langid._SALT[n - 1] % 2**32) >> int(langid._SHIFT)] += 1
+    x = x * model.idf
+    x /= np.linalg.norm(x)
+    cosine = [float(sum(x * c)) for c in model.centroids]
+    return int(np.argmax(cosine)), max(cosine)
+
+
+def test_predictions_against_a_plain_search(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("key"), "text", "lang")
+    model = langid.fit(docs)
+    for row in langid.predict(docs, model).collect():
+        if row.lang_pred == "und":
+            continue
+        best, score = plain_nearest(model, row.text)
+        assert row.lang_pred == model.languages[best] and abs(row.score - min(1.0, score)) < 1e-9
+        n = len(langid._normal(row.text.lower().encode())).bit_length() - 1
+        assert row.rejected == (score < model.floors[best, min(n, langid.LENGTHS - 1)] - langid.MARGIN)
+
+
+def test_no_learned_text_is_rejected(spark):
+    """Whatever the partitioning; no floor lies on a member's own cosine."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("key"), "text", "lang")
+    labelled = docs.where(langid.has_letter(F.col("text")) & F.col("lang").isNotNull())
+    models = [langid.fit(docs.repartition(n)) for n in (1, 5)]
+    assert np.allclose(models[0].floors, models[1].floors, atol=1e-9)
+    for model in models:
+        for row in langid.predict(labelled, model).collect():
+            assert not row.rejected
+            best = model.languages.index(row.lang_pred)
+            assert min(abs(row.score - f) for f in model.floors[best]) > 1e-9
+
+
+def test_floors_change_smoothly_with_the_number_of_texts():
+    cosine, lengths = np.full(300, 0.8), np.full(300, 9)
+    floors = [langid.length_floors(cosine[:m], lengths[:m])[9] for m in range(1, 300)]
+    assert all(0 <= b - a < 0.02 for a, b in zip(floors, floors[1:], strict=False)) and 0.4 < floors[0] < floors[-1] < 0.8
+
+
+def test_a_batch_of_short_texts_needs_little_memory():
+    import tracemalloc
+
+    texts = [b"the cat sat on the mat"] * 10_000
+    model = langid.Model(["en"], langid.unit(langid.counts(texts[:1]).astype(float)), np.zeros((1, langid.LENGTHS)), np.ones(langid.FEATURES))
+    tracemalloc.start()
+    best, score = model.nearest(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and score.min() > 0.999
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(3)], "key long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs)
