@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, jaccard_join, langid, leaks, private
-from folioscope.llm.common import open_docs, store
+from folioscope.llm.common import open_docs
 from folioscope.llm.queries import PRIVATE_KEY, RANKS
+from folioscope.session import fresh_path, remove_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = open_docs(spark, sf_dir)
+    """All stages; a stage's table is deleted when the next one's is written, and the last one's stays."""
+    docs, before = open_docs(spark, sf_dir), None
     for _, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), "stage")
+        found, path = stage(spark, docs, sf_dir), fresh_path(spark, "stage")
+        found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
