@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType
 
-from folioscope.llm.common import appended, slices, with_columns
+from folioscope.llm.common import appended, release, slices, with_columns
 
 #: Entries that each of a worker's memo tables may hold (about 10 MB); a full one is emptied, which costs only time.
 MEMO = 80_000
@@ -70,11 +70,6 @@ class Coder(dict):
             self[piece] = ids
         return ids
 
-    def forget(self) -> None:
-        """Empty the memo tables, so that an idle worker holds the vocabulary alone."""
-        for table in (self, self.halves, self.windows, self.stable):
-            table.clear()
-
     def encode(self, text: str) -> bytes:
         """Identifiers of a text, as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.__getitem__, self.find(text)))
@@ -203,6 +198,12 @@ def _coder(content: bytes, pattern: str, memo: int = MEMO) -> Coder:
     return _CODERS[key]
 
 
+def _forget_all() -> None:
+    """At the end of a task of several in a job: an idle worker holds neither vocabulary nor memo."""
+    _CODERS.clear()
+    release()
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Adds ``out``: the token identifiers as little-endian unsigned 32-bit integers (binary, four bytes each).
 
@@ -216,7 +217,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
         for batch in slices(batches):
             ids = [coder.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield appended(batch, schema, **{out: pa.array(ids, pa.binary())})
-        coder.forget()
+        _forget_all()
 
     return docs.mapInArrow(run, schema)
 
@@ -234,6 +235,7 @@ def decode(
             texts = [coder.decode(np.frombuffer(b or b"", "<u4")) for b in batch.column(ids).to_pylist()]
             made = pa.array([t.decode("utf-8", "replace") for t in texts]) if as_text else pa.array(texts, pa.binary())
             yield appended(batch, schema, **{out: made})
+        _forget_all()
 
     return docs.mapInArrow(run, schema)
 

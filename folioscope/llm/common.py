@@ -1,5 +1,8 @@
 """What several operators of this subpackage share: stored steps, batches, word hashes, components."""
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,6 +140,14 @@ def word_hashes(texts: list[bytes], space: np.ndarray = SPACE) -> tuple[np.ndarr
     return hashes, np.searchsorted(ends, starts, side="right"), starts
 
 
+def release() -> None:
+    """Give back what this worker no longer uses: workers outlive their tasks and share the machine with those of other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+
 def gather(df: DataFrame) -> list[tuple]:
     """All rows of a frame that the caller has bounded."""
     return [tuple(r) for r in df.collect()]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
-from folioscope.llm.common import appended, chunks, gather, slices, text_bytes, with_columns
+from folioscope.llm.common import appended, chunks, gather, release, slices, text_bytes, with_columns
 
 #: Places that n-grams are hashed to.
 FEATURES = 1 << 13
@@ -126,17 +126,45 @@ class Model:
         return best, np.clip(score, 0.0, 1.0)
 
 
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids of unit vectors and each vector's centroid; starts from the farthest vectors, so it is repeatable."""
-    centres = [unit(x.mean(axis=0))]
-    while len(centres) < min(k, len(x)):
-        near = np.max(x @ np.array(centres).T, axis=1)
-        centres.append(x[int(near.argmin())])
-    centres = np.array(centres)
+def _blocks(x: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of single precision in double precision, a few at a time."""
+    for begin in range(0, len(x), STEP_ROWS):
+        rows = slice(begin, begin + STEP_ROWS)
+        yield rows, x[rows].astype(np.float64)
+
+
+def cosines(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), len(centres)))
+    for rows, block in _blocks(x):
+        out[rows] = block @ centres.T
+    return out
+
+
+def _group_sums(x: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Sums of the rows of each group from 0 to below ``k``; rows of other groups are left out."""
+    out = np.zeros((k, x.shape[1]))
+    for rows, block in _blocks(x):
+        out += (own[rows] == np.arange(k)[:, None]).astype(np.float64) @ block
+    return out
+
+
+def spherical_kmeans(x: np.ndarray, k: int, used: np.ndarray | None = None, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of those unit vectors that are ``used``, and every vector's centroid.
+
+    Starts from the farthest vectors, so it is repeatable. The vectors may be of single precision and are not copied.
+    """
+    used = np.ones(len(x), bool) if used is None else used
+    centres = unit(_group_sums(x, np.where(used, 0, -1), 1))
+    while len(centres) < min(k, int(used.sum())):
+        near = np.where(used, cosines(x, centres).max(axis=1), np.inf)
+        centres = np.vstack([centres, unit(x[int(near.argmin())].astype(np.float64))])
+    own = cosines(x, centres).argmax(axis=1)
     for _ in range(rounds):
-        own = (x @ centres.T).argmax(axis=1)
-        centres = np.array([unit(x[own == j].mean(axis=0)) if (own == j).any() else centres[j] for j in range(len(centres))])
-    return centres, (x @ centres.T).argmax(axis=1)
+        sums = _group_sums(x, np.where(used, own, -1), len(centres))
+        filled = np.linalg.norm(sums, axis=1) > 0
+        centres = np.where(filled[:, None], unit(sums), centres)
+        own = cosines(x, centres).argmax(axis=1)
+    return centres, own
 
 
 def length_class(texts: list[bytes]) -> np.ndarray:
@@ -144,13 +172,13 @@ def length_class(texts: list[bytes]) -> np.ndarray:
     return np.array([min(LENGTHS, len(_normal(t)).bit_length()) - 1 for t in texts], np.int64)
 
 
-def held_out_cosines(x: np.ndarray, clusters: int, folds: int = 5) -> np.ndarray:
+def held_out_cosines(x: np.ndarray, clusters: int, mixed: np.ndarray, folds: int = 5) -> np.ndarray:
     """Of each unit vector the highest cosine with centroids of the other folds; 0 for a single vector."""
     out = np.zeros(len(x))
     folds = min(folds, len(x))
-    fold = np.arange(len(x)) % max(1, folds)
+    fold = mixed % max(1, folds)
     for f in range(folds if folds > 1 else 0):
-        out[fold == f] = (x[fold == f] @ spherical_kmeans(x[fold != f], clusters)[0].T).max(axis=1)
+        out[fold == f] = cosines(x, spherical_kmeans(x, clusters, fold != f)[0]).max(axis=1)[fold == f]
     return out
 
 
@@ -187,6 +215,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(features, pa.int32()), pa.array([*total[total > 0].tolist(), n], pa.int64())], names=["feature", "n"]
             )
+        release()
 
     seen = train.select("text").mapInArrow(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n"))
     found = dict(gather(seen))  # at most one row for each feature
@@ -222,13 +251,18 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
                 )
 
     def cluster(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        x = unit(np.array([np.frombuffer(g, np.float32) for g in rows["grams"]]).astype(np.float64) * idf)
+        order = np.argsort(rows["place"].to_numpy())
+        x = np.zeros((len(rows), FEATURES), np.float32)
+        for at, row in enumerate(order):
+            x[at] = unit(np.frombuffer(rows["grams"].iloc[row], np.float32) * idf)
         centres, own = spherical_kmeans(x, clusters)
         mixed = np.random.default_rng(0).permutation(len(x))  # folds that do not follow the order of the texts
-        floors = length_floors(held_out_cosines(x[mixed], clusters), rows["length"].to_numpy()[mixed])
+        floors = length_floors(held_out_cosines(x, clusters, mixed), rows["length"].to_numpy()[order])
         kept = [c.tobytes() for j, c in enumerate(centres) if (own == j).any()]
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": kept, "floors": [floors] * len(kept)})
+        lang = rows["lang"].iloc[0]
+        del rows, x
+        release()
+        return pd.DataFrame({"lang": lang, "centroid": kept, "floors": [floors] * len(kept)})
 
     # a group holds counts of fixed size, however long its texts are
     grams = some.mapInArrow(vectorise, "lang string, place int, length int, grams binary")
@@ -263,6 +297,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 score=pa.array(np.where(known, score, 0.0)),
                 rejected=pa.array([bool(x) for x in out], pa.bool_()),
             )
+        release()
 
     lower = F.when(has_letter(F.col(text)), F.lower(text))
     return docs.withColumn("_lower", lower).select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
