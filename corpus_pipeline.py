@@ -15,9 +15,21 @@ from folioscope.llm.common import open_docs
 from folioscope.llm.queries import PRIVATE_KEY, RANKS
 from folioscope.session import fresh_path, remove_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts pass between Spark and Python; in batches of the default 10,000 rows they take hundreds of megabytes of an executor.
+
+    A size that the session has set itself stays.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is near enough to a language; learned from those with a label."""
+    small_batches(spark)
     model = langid.fit(docs.select(F.col("doc_id").alias("key"), "text", "lang"))
     found = langid.predict(docs, model)
     return found.where("not rejected").select(*docs.columns)
@@ -25,6 +37,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles (similarity 0.8) the one with the smallest identifier."""
+    small_batches(spark)
     groups = jaccard_join.join(docs, words=5, share=80)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     # rows that repeat an identifier: the row limit works within each task first, and the join reuses its partitioning
@@ -35,6 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    small_batches(spark)
     found = leaks.find(docs, open_docs(spark, sf_dir, "benchmark"), out="_leaks")
     return found.where(F.size("_leaks") == 0).select(*docs.columns)
 
@@ -50,6 +64,7 @@ def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token identifiers (four bytes each); text is what these decode to."""
+    small_batches(spark)
     coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
     decoded = bpe.decode(coded.drop("text"), RANKS, public_tokenizers.PATTERN, out="text", as_text=True)
     n_tokens = F.call_function("div", F.octet_length("token_ids"), F.lit(4)).cast("long").alias("n_tokens")
