@@ -100,6 +100,12 @@ SELECT nullif(id, '') AS id, nullif(authors, '') AS authors, nullif(title, '') A
 FROM scanned""",
     SCANNED,
 )
+ORACLE["delimited_scan_broken"] = _sql(
+    "articles",
+    "SELECT "
+    + ", ".join(f"nullif({c}, '') AS {c}" for c in "id authors title abstract journal_ref category update_date".split())
+    + " FROM articles",
+)
 ORACLE["glob_scan"] = _sql(
     "articles", 'SELECT category, count(*) AS "count" FROM articles GROUP BY category'
 )
@@ -114,7 +120,9 @@ ORACLE["html_taxonomy_extract"] = _sql(
 SELECT page_id, code AS sub_category, 'Topics & Methods (' || page_id AS description
 FROM taxonomy_parts
 UNION ALL
-SELECT page_id, code || 'x', NULL FROM taxonomy_parts""",
+SELECT page_id, code || 'x', NULL FROM taxonomy_parts
+UNION ALL
+SELECT page_id, code || '.y', 'Café & – ' || url || ' &lt;' FROM taxonomy_parts""",
 )
 ORACLE["taxonomy_bucket"] = _sql(
     "taxonomy_parts",
@@ -122,9 +130,11 @@ ORACLE["taxonomy_bucket"] = _sql(
 SELECT main_name AS main_category, code AS sub_category, 'Topics & Methods (' || page_id AS description
 FROM taxonomy_parts
 UNION ALL
-SELECT main_name, code || 'x', NULL FROM taxonomy_parts""",
+SELECT main_name, code || 'x', NULL FROM taxonomy_parts
+UNION ALL
+SELECT main_name, code || '.y', 'Café & – ' || url || ' &lt;' FROM taxonomy_parts""",
 )
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]
 
 
 def _plain(markup: str) -> str:

@@ -127,6 +127,14 @@ def delimited_scan(spark, sf_dir):
     return delimited.read_records(spark, _written_records(spark, sf_dir))
 
 
+@query("delimited_scan_broken")
+def delimited_scan_broken(spark, sf_dir):
+    """Records written with the line breaks that titles and abstracts hold, read back whole."""
+    path = fresh_path(spark, "broken-records")
+    raw_json.write_lines(raw_json.flatten_records(_articles(spark, sf_dir)), path)
+    return delimited.read_broken_records(spark, path)
+
+
 @query("glob_scan")
 def glob_scan(spark, sf_dir):
     records = delimited.read_records(spark, _written_records(spark, sf_dir) + "/part*")

@@ -111,7 +111,10 @@ SELECT page_id,
        '<div class="columns divided"><div class="column"><h4>Category Name <span>(Full Name)</span></h4></div></div>' ||
        '<div class="columns divided"><div class="column is-one-fifth"><h4> ' || code ||
        ' <span>(Topics &amp; Methods (' || CAST(page_id AS VARCHAR(20)) || '))</span></h4></div><p>' || url ||
-       '</p></div><DIV class="columns divided"><h4>' || code || 'x' || chr(10) || 'bare</h4></DIV>' AS html
+       '</p></div><DIV class="columns divided"><h4>' || code || 'x' || chr(10) || 'bare</h4></DIV>' ||
+       '<div class="columns divided"><div><div>' || url || '</div></div><div><h4>' || code ||
+       '&#46;y <span>(Caf&eacute; &#x26; &#8211; ' || url || ' &amp;lt;)</span></h4></div></div><h4>footer' || code || ' <span>(none)</span></h4>' ||
+       '<div class="columns divided"><div>no head</div></div><div><h4>after <span>(none)</span></h4></div>' AS html
 FROM taxonomy_parts
 """
 
