@@ -13,6 +13,7 @@ the first. Repeated rows are scanned each by itself. Extra columns pass through;
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -98,12 +99,22 @@ def places(text: str, phrase: str) -> list[int]:
 
 def report(text: str, finder: Finder) -> dict:
     """What scan() adds for one text of words_only."""
-    base = [(text.count(" ", 0, at), label) for phrase, label in PHRASES.items() for at in places(text, phrase)]
+    phrases = [(at, label) for phrase, label in PHRASES.items() for at in places(text, phrase)]
+    found = finder.find(text)
+    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32) if phrases or found else np.zeros(0, np.int64)
+
+    def before(offsets: list[int]) -> list[int]:
+        """The number of spaces before each offset."""
+        return np.searchsorted(spaces, offsets).tolist()
+
+    base = list(zip(before([at for at, _ in phrases]), [label for _, label in phrases], strict=True))
     spans, score = [], 1.0 if base else 0.0
-    for n, begin, end, edits in finder.find(text):
+    begins = before([begin + 1 if text[begin] == " " else begin for _, begin, _, _ in found])
+    ends = before([end - 1 for _, _, end, _ in found])
+    for (n, _, _, edits), begin, end in zip(found, begins, ends, strict=True):
         pattern, label, _, _ = finder.notices[n]
-        first = text.count(" ", 0, begin + 1) - 1 if text[begin] == " " else text.count(" ", 0, begin) - 1
-        last = max(first, text.count(" ", 0, end - 1) - 1)
+        first = begin - 1
+        last = max(first, end - 1)
         spans.append({"label": label, "first_word": max(0, first), "last_word": last, "edits": edits})
         score = max(score, 1.0 - edits / len(pattern))
     starts = [at for at, _ in base]
