@@ -13,7 +13,8 @@ or sentence, else the last third of the words.
 
 Words are runs of letters, digits and characters outside ASCII, A-Z lower-cased. Document frequencies cover all items. The index is broadcast in
 shards of at most SHARD_BYTES of item text, one after another, each against all documents. Null and empty texts and items
-have no leaks. Repeated documents are searched each by itself; repeated items count as items. Whole texts are read. Extra columns
+have no leaks. Repeated documents are searched each by itself. Items are told apart by identifier and text: those that share an identifier
+are indexed, and reported, each by itself, those without one too (their leaks have a null item_id); rows equal in both are one item. Whole texts are read. Extra columns
 pass through; one with the name of the output is replaced.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
-from folioscope.llm.common import LOWER_SQL, UPPER_SQL, WORDS_ONLY, appended, chunks, gather, slices, text_bytes, with_columns
+from folioscope.llm.common import LOWER_SQL, UPPER_SQL, WORDS_ONLY, appended, chunks, gather, slices, store, text_bytes, with_columns
 
 #: Words of an item's chunk at most; passages have twice as many and begin at multiples of it.
 CHUNK = 48
@@ -99,9 +100,13 @@ class Postings:
 
 
 class Index:
-    """rows: (item, chunk, term, number of times, chunks with the term); size: words of all chunks together, and their number."""
+    """rows: (item, chunk, term, number of times, chunks with the term); size: words of all chunks together, and their number.
 
-    def __init__(self, rows: list[tuple], items: list[tuple], n_chunks: int, n_words: int):
+    ids: the identifier of each item, as far as it is not the item's number.
+    """
+
+    def __init__(self, rows: list[tuple], items: list[tuple], n_chunks: int, n_words: int, ids: dict[int, int | None] | None = None):
+        self.ids = ids or {}
         names = sorted({(item, chunk) for item, chunk, *_ in rows})
         place = {name: i for i, name in enumerate(names)}
         length = np.zeros(len(names))
@@ -236,38 +241,40 @@ class Index:
                 if min(both) >= VERIFIED:
                     found[doc][item] = max(found[doc].get(item, (0.0,)), (score, *both))
         return [
-            [{"item_id": i, "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(own.items())] for own in found
+            [{"item_id": self.ids.get(i, i), "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(own.items())] for own in found
         ]
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """The index in shards; document frequencies and lengths are those of all items."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    items = items.groupBy("item_id").agg(F.concat_ws("\n", F.sort_array(F.collect_set("text"))).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
+    # an item's number is fixed by writing it
+    items = store(items.withColumn("item", F.monotonically_increasing_id()), "items")
     plain = F.regexp_replace(F.translate("text", UPPER_SQL, LOWER_SQL), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     words = items.withColumn("words", F.filter(F.split(plain, " "), lambda w: w != "")).where(F.size("words") > 0)
     parts = F.ceil(F.size("words") / F.lit(CHUNK)).cast("int")
     size = F.ceil(F.size("words") / parts).cast("int")
     cut = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.slice("words", i * size + 1, size))
     terms = (
-        words.select("item_id", F.posexplode(cut).alias("chunk", "part"))
-        .select("item_id", "chunk", F.explode("part").alias("term"))
-        .groupBy("item_id", "chunk", "term")
+        words.select("item", F.posexplode(cut).alias("chunk", "part"))
+        .select("item", "chunk", F.explode("part").alias("term"))
+        .groupBy("item", "chunk", "term")
         .agg(F.count("*").alias("times"))
     )
     frequency = terms.groupBy("term").agg(F.count("*").alias("df"))
-    rows = terms.join(frequency, "term").select("item_id", "chunk", F.encode("term", "utf-8").alias("term"), "times", "df")
+    rows = terms.join(frequency, "term").select("item", "chunk", F.encode("term", "utf-8").alias("term"), "times", "df")
     n_words, n_bytes = gather(words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))))[0]
-    n_chunks = terms.select("item_id", "chunk").distinct().count()
+    n_chunks = terms.select("item", "chunk").distinct().count()
     shards = -(-n_bytes // SHARD_BYTES)
     for shard in range(shards):
-        own = F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard
+        own = F.pmod(F.xxhash64("item"), F.lit(shards)) == shard
         held = [(i, c, bytes(t), n, df) for i, c, t, n, df in gather(rows.where(own))]
-        yield Index(held, gather(items.where(own)), n_chunks, n_words)
+        texts = gather(items.where(own).select("item", "text", "item_id"))
+        yield Index(held, [(item, text) for item, text, _ in texts], n_chunks, n_words, {item: name for item, _, name in texts})
 
 
 def find(docs: DataFrame, benchmark: DataFrame, out: str = "leaks") -> DataFrame:
-    """Adds ``out`` to each row: an array of (item_id, score, question_overlap, answer_overlap), by item; empty if clean."""
+    """Adds ``out`` to each row: an array of (item_id, score, question_overlap, answer_overlap), one for each item; empty if clean."""
     schema = with_columns(docs.schema, **{out: ArrayType(LEAK)})
     found = docs.withColumn(out, F.array().cast(ArrayType(LEAK))).select(*[F.col(f"`{f.name}`") for f in schema])
     for index in indexes(benchmark):

@@ -90,6 +90,16 @@ def test_edge_rows(spark):
     assert leaks.pairs(docs, benchmark.limit(0)).collect() == []
 
 
+def test_items_without_or_with_a_shared_identifier(spark):
+    snow, sea = "what is the colour of snow? it is white", "how deep is the widest sea? eleven thousand metres"
+    docs = spark.createDataFrame([(1, f"so {snow} then"), (2, sea), (3, f"{sea} {snow}"), (4, "nothing of it")], "doc_id long, text string")
+    for ids, want in (((None, None), None), ((7, 7), 7), ((None, 7), ...)):
+        rows = [(ids[0], snow), (ids[1], sea), (ids[1], sea)]
+        benchmark = spark.createDataFrame(rows, "item_id long, text string")
+        got = {r.doc_id: sorted((x.item_id for x in r.leaks), key=str) for r in leaks.find(docs, benchmark).collect()}
+        assert got == {1: [ids[0]], 2: [ids[1]], 3: sorted(ids, key=str) if want is ... else [want, want], 4: []}
+
+
 def test_long_text(spark):
     text = "what is the colour of snow it is white"
     docs = spark.createDataFrame([(1, "filler words " * 30_000 + text)], "doc_id long, text string")
