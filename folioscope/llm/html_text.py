@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from folioscope.llm.common import appended, gather, with_columns
+from folioscope.llm.common import Scratch, appended, gather, with_columns
 
 #: Elements that may stand in a head; any other ends an open one.
 IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
@@ -115,11 +115,28 @@ def events(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
         yield "text", page[at:], ()
 
 
+class Entry:
+    """An open element, with what holds for all that stands in it."""
+
+    __slots__ = ("name", "own", "place", "boilerplate", "unread", "lowest", "fresh", "words")
+
+    def __init__(self, name: str, own: tuple[str, ...], outer: "Entry | None"):
+        self.name, self.own = name, own
+        #: "in" a mark of content or "out"
+        self.place = "in" if name in LABELS else outer.place if outer else "out"
+        self.boilerplate = bool(outer and outer.boilerplate) or any(map(is_boilerplate, own))
+        self.unread = bool(outer and outer.unread) or name in UNREAD
+        #: the least word share of the features up to here from the innermost mark on; Model.lowest fills it in
+        self.lowest: float | None = -1.0
+
+
 class Walk:
-    """The open elements while a page is read."""
+    """The open elements while a page is read. What an event costs does not depend on how many are open."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[Entry] = []
+        self.at: dict[str, list[int]] = {}  # where elements of each name are open
+        self.blocks: list[int] = []  # where elements are open that are not inline
 
     def open(self, name: str, own: tuple[str, ...]) -> None:
         if name not in IN_HEAD:
@@ -127,68 +144,120 @@ class Walk:
         if name in VOID:
             return
         if name not in INLINE:
-            self._end({"p"} | ENDED_BY.get(name, set()), {"ul", "ol", "dl", "table"} if name in ENDED_BY else set())
-        self.stack.append((name, own))
+            self._end(name)
+        entry = Entry(name, own, self.stack[-1] if self.stack else None)
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(entry)
+
+    def left(self, entry: Entry) -> None:
+        """Called for each element that ends."""
+
+    def _cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            entry = self.stack.pop()
+            self.at[entry.name].pop()
+            if entry.name not in INLINE:
+                self.blocks.pop()
+            self.left(entry)
+
+    def _innermost(self, names: set[str]) -> int:
+        return max((self.at[name][-1] for name in names if self.at.get(name)), default=-1)
 
     def text(self, value: str) -> bool:
         """Whether the text ends an open head, as all but white space in the head itself does."""
-        ended = bool(self.stack) and self.stack[-1][0] == "head" and bool(value.strip(" \t\n\r\f"))
+        ended = bool(self.stack) and self.stack[-1].name == "head" and bool(value.strip(" \t\n\r\f"))
         if ended:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         return ended
 
-    def _end(self, names: set[str], within: set[str]) -> None:
+    def _end(self, name: str) -> None:
         # an unclosed paragraph or item, with the inline elements left open in it
-        for i in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[i][0]
-            if name in names:
-                del self.stack[i:]
-                return
-            if name in within or name not in INLINE and not (within and name not in LABELS):
-                return
+        if name in ENDED_BY:
+            found = self._innermost({"p"} | ENDED_BY[name])
+            if found > self._innermost({"ul", "ol", "dl", "table"} | LABELS):
+                self._cut(found)
+        elif self.blocks and self.stack[self.blocks[-1]].name == "p":
+            self._cut(self.blocks[-1])
 
     def close(self, name: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == name:
-                del self.stack[i:]
-                return
+        found = self._innermost({name})
+        if found >= 0:
+            self._cut(found)
 
-
-    def below_mark(self) -> int | None:
-        """Where the innermost mark of content is open, or None."""
-        return next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] in LABELS), None)
+    def place(self) -> str:
+        return self.stack[-1].place if self.stack else "out"
 
     def boilerplate(self) -> bool:
-        return any(is_boilerplate(f) for _, own in self.stack for f in own)
+        return bool(self.stack) and self.stack[-1].boilerplate
+
+    def unread(self) -> bool:
+        return bool(self.stack) and self.stack[-1].unread
+
+
+class Count(Walk):
+    """Counts, for each place and feature, the tags in and out of content and the words below it in and out.
+
+    A word counts for the features that speak for its place: those above it up to the innermost mark, each once. An element adds up its words
+    and gives them, when it ends, to the features that no outer element of this scope has, and to the outer element.
+    """
+
+    def __init__(self, held: dict[str, list[int]]) -> None:
+        super().__init__()
+        self.held = held
+        self.scopes: list[set[str]] = [set()]  # features above, for each mark that is open and outside of all
+
+    def open(self, name: str, own: tuple[str, ...]) -> None:
+        before = len(self.at.get(name, ())) if name not in VOID else None
+        super().open(name, own)
+        inside = self.place() == "in" and not self.boilerplate()
+        for f in own:
+            self.held.setdefault(f"{self.place()} {f}", [0, 0, 0, 0])[0 if inside else 1] += 1
+        if before is None:
+            return
+        entry = self.stack[-1]
+        entry.words = [0, 0]
+        if name in LABELS:
+            self.scopes.append(set())
+            entry.fresh = ()
+        else:
+            entry.fresh = [f for f in dict.fromkeys(own) if f not in self.scopes[-1]]
+            self.scopes[-1].update(entry.fresh)
+
+    def words(self, number: int) -> None:
+        if self.stack and not self.unread():
+            inside = self.place() == "in" and not self.boilerplate()
+            self.stack[-1].words[0 if inside else 1] += number
 
-    def above(self) -> tuple[str, set[str]]:
-        """The kind of place ("in" a mark or "out") and the features above it that speak for that place."""
-        mark = self.below_mark()
-        first = 0 if mark is None else mark + 1
-        return "out" if mark is None else "in", {f for _, own in self.stack[first:] for f in own}
+    def left(self, entry: Entry) -> None:
+        if entry.name in LABELS:
+            self.scopes.pop()
+            return
+        self.scopes[-1].difference_update(entry.fresh)
+        for side in (0, 1):
+            if entry.words[side]:
+                for f in entry.fresh:
+                    self.held.setdefault(f"{entry.place} {f}", [0, 0, 0, 0])[2 + side] += entry.words[side]
+                if self.stack:
+                    self.stack[-1].words[side] += entry.words[side]
+
+    def finish(self) -> None:
+        self._cut(0)
 
 
 def count_features(page: str, held: dict[str, list[int]]) -> None:
-    """Adds a labelled page's counts: for each place and feature the tags in and out of content, the words below it in and out."""
-    walk = Walk()
+    """Adds a labelled page's counts."""
+    walk = Count(held)
     for kind, value, own in events(page):
-        if kind == "close":
-            walk.close(value)
-            continue
         if kind == "open":
             walk.open(value, own)
+        elif kind == "close":
+            walk.close(value)
         else:
             walk.text(value)
-        place, above = walk.above()
-        inside = place == "in" and not walk.boilerplate()
-        if kind == "open":
-            for f in own:
-                held.setdefault(f"{place} {f}", [0, 0, 0, 0])[0 if inside else 1] += 1
-        elif not any(name in UNREAD for name, _ in walk.stack):
-            words = len(value.split())
-            if words:
-                for f in above:
-                    held.setdefault(f"{place} {f}", [0, 0, 0, 0])[2 if inside else 3] += words
+            walk.words(len(value.split()))
+    walk.finish()
 
 
 @dataclass
@@ -203,13 +272,33 @@ class Model:
         share = 0.0 if any(map(is_boilerplate, own)) else min((self.tags.get(f"{place} {f}", 1.0) for f in own), default=1.0)
         return -(TAG_LEAST + (TAG_MOST - TAG_LEAST) * (1.0 - share))
 
+    def lowest(self, walk: Walk) -> float | None:
+        """The least share of the features above, up to the innermost mark; None without any."""
+        stack = walk.stack
+        known = len(stack)
+        while known and stack[known - 1].lowest == -1.0:
+            known -= 1
+        low = stack[known - 1].lowest if known else None
+        for entry in stack[known:]:
+            if entry.name in LABELS:
+                low = None
+            else:
+                unseen = self.unseen(entry.place)
+                own = min(self.words.get(f"{entry.place} {f}", unseen) for f in entry.own)
+                low = own if low is None else min(low, own)
+            entry.lowest = low
+        return low
+
+    def unseen(self, place: str) -> float:
+        return 1.0 if place == "in" else self.outside
+
     def word_score(self, walk: Walk) -> tuple[float, bool]:
         """A word's score here, and whether it can be content."""
         if walk.boilerplate():
             return WORD_LEAST, False
-        place, above = walk.above()
-        unseen = 1.0 if place == "in" else self.outside
-        score = min((self.words.get(f"{place} {f}", unseen) for f in above), default=unseen)
+        score = self.lowest(walk)
+        if score is None:
+            score = self.unseen(walk.place())
         return max(WORD_LEAST, score), score >= CONTENT_SHARE
 
     def without_mark(self) -> "Model":
@@ -254,8 +343,10 @@ def fit(pages: DataFrame, column: str = "html") -> Model:
         .groupBy("feature")
         .agg(*[F.sum(c).alias(c) for c in ("ti", "to", "wi", "wo")])
     )
-    n = totals.where(F.col("feature").contains(" tag:")).agg(F.coalesce(F.sum(F.col("ti") + F.col("to")), F.lit(0))).first()[0]
-    rows = gather(totals.where(F.col("ti") + F.col("to") >= FEATURE_SHARE * n))
+    with Scratch(pages.sparkSession, "tag-counts") as scratch:  # one parse of the pages
+        totals = scratch.store(totals, "totals")
+        n = totals.where(F.col("feature").contains(" tag:")).agg(F.coalesce(F.sum(F.col("ti") + F.col("to")), F.lit(0))).first()[0]
+        rows = gather(totals.where(F.col("ti") + F.col("to") >= FEATURE_SHARE * n))
     model = Model({}, {})
     for feature, tags_in, tags_out, words_in, words_out in rows:
         if feature.partition(":")[2] in {"html", "body"}:
@@ -283,7 +374,7 @@ def extract(page: str | None, model: Model, without_mark: Model) -> str:
         if kind == "text":
             if unread and walk.text(value):
                 score, content = model.word_score(walk)
-                unread = any(name in UNREAD for name, _ in walk.stack)
+                unread = walk.unread()
             if unread:
                 continue
             text = html.unescape(value)
@@ -307,9 +398,9 @@ def extract(page: str | None, model: Model, without_mark: Model) -> str:
             ends = False
         elif value not in INLINE:
             ends = True
-        place = "out" if walk.below_mark() is None else "in"
+        place = walk.place()
         score, content = model.word_score(walk)
-        unread = any(name in UNREAD for name, _ in walk.stack)
+        unread = walk.unread()
     blocks: list[list[str]] = []
     fresh = True
     for text, before, content in pieces[region[0] : region[1]]:

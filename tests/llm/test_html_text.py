@@ -63,6 +63,20 @@ def test_very_long_page():
     assert read(many).count("\n\n") == 4999
 
 
+@pytest.mark.parametrize(
+    "start, step, end",
+    [("", "<div><b>word ", ""), ("<main>", "<div class=c{}><i>word ", "</main>"), ("<b>" * 40_000, "<p>word</p><li>x</li></u>", ""),
+     ("<div>" * 40_000, "<li>word</li><dd>x</dd></nav>", "")],
+)
+def test_many_open_elements(start, step, end):
+    """An event costs the same however many elements are open; walking the open ones for each took hours here."""
+    page = start + "".join(step.format(i) for i in range(40_000)) + end
+    held = {}
+    H.count_features(f"<article>{page}", held)
+    assert held["in tag:article"][:2] == [1, 0]
+    assert read(f"<article>{page}").split().count("word") == 40_000
+
+
 def test_query_finds_the_marked_article(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     rows = QUERIES["op2_html_text"](spark, DATA).collect()
