@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows it gets. All but the last return the columns of documents. What each does
 with nulls, empty and repeated rows is stated with its operator in folioscope/llm; here that means: documents without a
 letter in their text go in the first stage, documents without an identifier are never copies of others, and of rows that repeat an
-identifier one stays.
+identifier with the same text one stays. Different texts under one identifier are documents of their own (texts are told apart by a 64-bit hash).
 """
 
 import public_tokenizers
@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, jaccard_join, langid, leaks, private
-from folioscope.llm.common import open_docs
+from folioscope.llm.common import open_docs, store
 from folioscope.llm.queries import PRIVATE_KEY, RANKS
+from folioscope.operators.positions import with_positions
 from folioscope.session import fresh_path, remove_path
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -35,15 +36,37 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where("not rejected").select(*docs.columns)
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents, of rows equal in identifier and text one, with a number ``_node`` for each identifier and text.
+
+    It is the identifier for the first text under it; further texts come behind all identifiers. Only rows whose identifier repeats are
+    shuffled (and, if the repeated identifiers are too many to be broadcast, the rest to be told from them).
+    """
+    digest = F.xxhash64("text")
+    named = docs.where("doc_id is not null")
+    again = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = store(again, "repeated")
+    # the row limit works within each task first
+    order = Window.partitionBy("doc_id", "_digest").orderBy(F.xxhash64(*[c for c in docs.columns if c != "text"]))
+    several = named.join(again, "doc_id", "left_semi").withColumn("_digest", digest)
+    several = several.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+    texts = named.select("doc_id", digest.alias("_digest")).join(again, "doc_id", "left_semi").distinct()
+    least = texts.groupBy("doc_id").agg(F.min("_digest").alias("_digest"))
+    further = texts.join(least, ["doc_id", "_digest"], "left_anti")
+    last = named.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).first()[0]
+    further = store(with_positions(further, "doc_id", "_digest", name="_number", start=last + 1), "further")
+    several = several.join(further, ["doc_id", "_digest"], "left").withColumn("_node", F.coalesce("_number", F.col("doc_id").cast("long")))
+    single = docs.join(again, "doc_id", "left_anti").withColumn("_node", F.col("doc_id").cast("long"))
+    return single.select(*docs.columns, "_node").union(several.select(*docs.columns, "_node"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles (similarity 0.8) the one with the smallest identifier."""
     small_batches(spark)
-    groups = jaccard_join.join(docs, words=5, share=80)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    # rows that repeat an identifier: the row limit works within each task first, and the join reuses its partitioning
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*[c for c in docs.columns if c != "text"]))
-    single = docs.where("doc_id is not null").withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
-    return single.join(kept, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
+    nodes = numbered(spark, docs)
+    groups = jaccard_join.join(nodes.where("_node is not null").select(F.col("_node").alias("doc_id"), "text"), words=5, share=80)
+    copies = store(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_node")), "copies")
+    return nodes.join(copies, "_node", "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
