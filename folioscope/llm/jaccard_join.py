@@ -16,7 +16,7 @@ Method: the shingles of all documents have one global order, that of their 64-bi
    linked is counted as in 2. After that no link between different classes is left, so the classes are exact.
 
 Equal sets are linked without comparison. Documents without words or text are linked with nothing; sizes and classes come back for each input
-row. Rows without an identifier take no part and have no class. Rows that share an identifier are one document, whose links are those of all
+row. Rows without an identifier take no part and have no class; their sets' sizes come back like the others'. Rows that share an identifier are one document, whose links are those of all
 its texts. Extra columns are not read. Two different shingles share a hash with a chance of 2 ** -64.
 """
 
@@ -59,6 +59,17 @@ def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[int,
             yield from zip(ids[begin:end], shingle_sets(texts[begin:end], words), strict=True)
 
 
+def _sizes(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The size of each document's set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(shingles) for _, shingles in _sets([batch], words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32())], names=["doc_id", "n"])
+
+    return run
+
+
 _KEY_ROWS = "key long, a long, b long, n int, digest binary"
 
 
@@ -309,7 +320,7 @@ def join(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with Scratch(docs.sparkSession, "jaccard") as scratch:
         sizes, labels = _classes(scratch, docs, words, share)
-    sizes = sizes.union(docs.where("doc_id is null").select("doc_id", F.lit(None).cast("int")))
+    sizes = sizes.union(docs.where("doc_id is null").mapInArrow(_sizes(words), "doc_id long, n int"))
     return sizes.join(labels.toDF("doc_id", "label"), "doc_id", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id")
     )

@@ -88,6 +88,8 @@ def test_edge_rows(spark):
     assert {r[2] for r in run(spark, twice, 3, 90)} == {1}
     docs = spark.createDataFrame([(None, "a b c")], "doc_id long, text string").selectExpr("*", "1 AS component_id", "2 AS n")
     assert [(r.doc_id, r.component_id) for r in jaccard_join.join(docs).collect()] == [(None, None)]
+    docs = spark.createDataFrame([(None, "a b c d d"), (None, None), (None, "x")], "doc_id long, text string")
+    assert sorted((r.n_shingles, r.component_id) for r in jaccard_join.join(docs, 3, 90).collect()) == [(0, None), (1, None), (3, None)]
     assert jaccard_join.join(docs.limit(0)).collect() == []
 
 
