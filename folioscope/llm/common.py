@@ -43,15 +43,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def let_go(spark: SparkSession) -> None:
-    """Shuffle files stay on the executors' disks until the driver's JVM notices that no plan refers to them, which may take until these are full.
-
-    Asking it to look lets Spark's cleaner delete those of steps whose results are stored.
-    """
-    gc.collect()
-    spark._jvm.java.lang.System.gc()
-
-
 class Scratch:
     """A folder of stored steps that goes, with all in it, when the block ends; only eager results may come out of it."""
 
@@ -63,7 +54,6 @@ class Scratch:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.root}/{name}")
-        let_go(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def remove(self, name: str = "") -> None:
