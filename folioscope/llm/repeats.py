@@ -1,9 +1,11 @@
 """Substring deduplication by sliding spans of sentences.
 
-Method: every run of SPAN consecutive sentences is hashed. Of all places with the same hash in the corpus the first, by identifier and
+Method: a span is a run of consecutive sentences, SPAN at least, that holds SPAN_WORDS words: from each sentence the shortest run that begins
+there, and the shortest that ends there. So a shared passage has equal spans wherever it stands, and they cover all of its whole sentences; two
+short sentences that many texts share are no passage. Every span is hashed. Of all places with the same hash in the corpus the first, by identifier and
 position, stays; sentences covered by any later place are marked and removed, however short. A caller may ask for ``least_words``:
 then marked sentences that follow each other stay if together they have fewer words. Of a passage that starts or ends inside a sentence
-only the whole sentences count, so a copy without SPAN whole sentences in it stays.
+only the whole sentences count, so a copy whose whole sentences are fewer than SPAN, or have fewer words than SPAN_WORDS, stays.
 
 Sentences end at . ! or ? before white space, at a line end, and at the end of the text. A longer run than LONG words (lists, text
 without punctuation) is also cut after each word whose hash is a multiple of CUT, which depends on the words alone, so that a
@@ -28,8 +30,11 @@ from pyspark.sql.types import LongType
 
 from folioscope.llm.common import appended, chunks, mix, slices, text_bytes, with_columns, word_hashes
 
-#: Sentences of a span.
-SPAN = 2
+#: Least sentences and least words of a span.
+SPAN, SPAN_WORDS = 2, 12
+
+#: A place is the number of its first sentence above these bits and the number of its sentences in them.
+PLACE_BITS = 16
 
 #: Words that marked sentences must have together to be removed; none: all are.
 LEAST_WORDS = 0
@@ -40,6 +45,10 @@ LONG, CUT = 40, 8
 #: Spans that a task gathers before it joins them and sends them on.
 GATHERED = 2_000_000
 
+#: An odd number and its inverse modulo 2^64.
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
 _ENDS = np.isin(np.arange(256), list(b".!?"))
 
 
@@ -75,24 +84,31 @@ def sentences(texts: list[bytes]) -> Sentences:
     return Sentences(mix(np.add.reduceat(hashes * turn, first)), owner[first], count, starts[first])
 
 
-def spans(found: Sentences, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run of ``size`` sentences of one text: its hash, its text, and the number of its first sentence in that text."""
-    n = len(found.hashes) - size + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none
-    total = np.zeros(n, np.uint64)
-    for i in range(size):
-        total += mix(found.hashes[i : i + n] + np.uint64(i))
-    whole = found.owner[:n] == found.owner[size - 1 :]
-    number = np.arange(n) - np.searchsorted(found.owner, found.owner[:n])
-    return mix(total)[whole], found.owner[:n][whole], number[whole]
+def spans(found: Sentences, size: int, least: int = SPAN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each span of ``size`` sentences and ``least`` words, as short as its begin or its end allows: its hash, its text, its place there."""
+    if max(size, least) >= 1 << PLACE_BITS:
+        raise ValueError("spans are too long")
+    n = len(found.hashes)
+    at = np.arange(n)
+    before = np.concatenate([[0], np.cumsum(found.words)])
+    first, last = (np.searchsorted(found.owner, found.owner, side=s) for s in ("left", "right"))
+    ends = np.maximum(np.searchsorted(before, before[:n] + least), at + size)
+    begins = np.minimum(np.searchsorted(before, before[1:] - least, side="right") - 1, at + 1 - size)
+    forward, backward = ends <= last, begins >= first
+    backward[backward] = ends[begins[backward]] != at[backward] + 1  # else the same span
+    begin = np.concatenate([at[forward], begins[backward]])
+    end = np.concatenate([ends[forward], at[backward] + 1])
+    # a polynomial over the sentences' hashes, shifted to the span's begin
+    power, back = (np.cumprod(np.full(n + 1, base, np.uint64), dtype=np.uint64) for base in (_BASE, _INVERSE))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(found.hashes * power[:n], dtype=np.uint64)])
+    value = (total[end] - total[begin]) * back[begin]
+    return mix(value + (end - begin).astype(np.uint64)), found.owner[begin], (begin - first[begin] << PLACE_BITS) | (end - begin)
 
 
-_PLACES = "span long, doc_id long, tag long, at int"
+_PLACES = "span long, doc_id long, tag long, at long"
 
 
-def _first_places(size: int):
+def _first_places(size: int, least: int):
     """Of (doc_id, tag, text): the first place of each span in the task, and with a null span all later ones."""
 
     def joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -104,7 +120,7 @@ def _first_places(size: int):
         later = (doc != doc[begin]) | (tag != tag[begin]) | (at != at[begin])
         kept = fresh | later
         return pa.RecordBatch.from_arrays(
-            [pa.array(span.view(np.int64)[kept], mask=later[kept]), pa.array(doc[kept]), pa.array(tag[kept]), pa.array(at[kept].astype(np.int32))],
+            [pa.array(span.view(np.int64)[kept], mask=later[kept]), pa.array(doc[kept]), pa.array(tag[kept]), pa.array(at[kept])],
             names=["span", "doc_id", "tag", "at"],
         )
 
@@ -114,7 +130,7 @@ def _first_places(size: int):
             docs, tags = (batch.column(c).to_numpy() for c in ("doc_id", "tag"))
             texts = text_bytes(batch.column("text"))
             for begin, end in chunks(texts):
-                span, owner, at = spans(sentences(texts[begin:end]), size)
+                span, owner, at = spans(sentences(texts[begin:end]), size, least)
                 held.append((span, docs[begin:end][owner], tags[begin:end][owner], at))
                 n += span.size
                 if n > GATHERED:
@@ -126,13 +142,14 @@ def _first_places(size: int):
     return run
 
 
-def cut(text: bytes, marked: list[int], size: int, least_words: int) -> tuple[bytes, int]:
+def cut(text: bytes, marked: list[int], least_words: int) -> tuple[bytes, int]:
     """The text without its marked spans, as far as they are long enough together, and the number of sentences removed."""
     found = sentences([text])
-    covered = np.zeros(len(found.hashes) + size, bool)
-    for i in range(size):
-        covered[np.array(marked, np.int64) + i] = True
-    covered = covered[: len(found.hashes)]
+    places = np.array(marked, np.int64)
+    change = np.zeros(len(found.hashes) + 1, np.int64)
+    np.add.at(change, places >> PLACE_BITS, 1)
+    np.add.at(change, (places >> PLACE_BITS) + (places & (1 << PLACE_BITS) - 1), -1)
+    covered = np.cumsum(change)[:-1] > 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
     out, at, removed = [], 0, 0
     for begin, end in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -143,11 +160,11 @@ def cut(text: bytes, marked: list[int], size: int, least_words: int) -> tuple[by
     return b"".join([*out, text[at:]]), removed
 
 
-def remove_repeats(docs: DataFrame, size: int = SPAN, least_words: int = LEAST_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SPAN, span_words: int = SPAN_WORDS, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents with later places of repeated passages cut out of text; adds n_removed (sentences)."""
     tagged = docs.withColumn("_tag", F.xxhash64("text"))
     known = tagged.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_tag").alias("tag"), "text")
-    places = known.mapInArrow(_first_places(size), _PLACES)
+    places = known.mapInArrow(_first_places(size, span_words), _PLACES)
     first = F.min(F.struct("doc_id", "tag", "at")).over(Window.partitionBy("span"))
     # spans of one task are distinct, so a window holds one row for each task at most; later places go by themselves
     spread = F.coalesce("span", F.xxhash64("doc_id", "tag", "at"))
@@ -165,7 +182,7 @@ def remove_repeats(docs: DataFrame, size: int = SPAN, least_words: int = LEAST_W
             for text, places in zip(batch.column("text").to_pylist(), batch.column("_marked").to_pylist(), strict=True):
                 n = 0
                 if places:
-                    clean, n = cut(text.encode(), places, size, least_words)
+                    clean, n = cut(text.encode(), places, least_words)
                     text = clean.decode()
                 texts.append(text)
                 counts.append(n)

@@ -31,17 +31,26 @@ def plain_sentences(text):
     return out
 
 
-def plain(rows, size, least):
+def plain_spans(cut):
+    """Of all runs of sentences that are long enough, those that are too short without their last or without their first."""
+    enough = lambda a, b: b - a >= repeats.SPAN and sum(len(w) for w, _ in cut[a:b]) >= repeats.SPAN_WORDS
+    for a in range(len(cut)):
+        for b in range(a + repeats.SPAN, min(len(cut), a + max(repeats.SPAN, repeats.SPAN_WORDS)) + 1):
+            if enough(a, b) and not (enough(a, b - 1) and enough(a + 1, b)):
+                yield a, b
+
+
+def plain(rows, least):
     """rows: (doc_id, tag, text), as a set; the texts that remain."""
     rows = sorted(set(rows))
     first = {}
     found = {}
     for doc, tag, text in rows:
         cut = plain_sentences(text)
-        for at in range(len(cut) - size + 1):
-            span = tuple(tuple(w) for w, _ in cut[at : at + size])
+        for at, end in plain_spans(cut):
+            span = tuple(tuple(w) for w, _ in cut[at:end])
             if first.setdefault(span, (doc, tag, at)) != (doc, tag, at):
-                found.setdefault((doc, tag), set()).update(range(at, at + size))
+                found.setdefault((doc, tag), set()).update(range(at, end))
     out = {}
     for doc, tag, text in rows:
         cut, marked = plain_sentences(text), found.get((doc, tag), set())
@@ -60,7 +69,7 @@ def plain(rows, size, least):
 
 def check(spark, docs, got):
     tagged = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text").collect()
-    want = plain([(r.doc_id, r.tag, r.text) for r in tagged if r.text and r.doc_id is not None], repeats.SPAN, repeats.LEAST_WORDS)
+    want = plain([(r.doc_id, r.tag, r.text) for r in tagged if r.text and r.doc_id is not None], repeats.LEAST_WORDS)
     pairs = sorted((r.doc_id, want[r.doc_id, r.tag]) for r in tagged if r.text and r.doc_id is not None)
     assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None and (r.text or r.n_removed)) == pairs
 
@@ -96,6 +105,15 @@ def test_a_shared_passage_without_punctuation_is_cut_alike():
     assert len(spans[0] & spans[1]) >= 5
 
 
+def test_passages_go_whole_and_short_common_lines_stay(spark):
+    """The last sentence of a passage goes too, though the shortest run from it ends beyond; two short sentences are no passage."""
+    passage = "one two three four five six. seven eight nine ten eleven twelve. and three more."
+    line = "All rights reserved. Read on."
+    texts = [f"x{i} y{i} z{i} starts here with words. {passage} a{i} b{i} c{i} goes on. {line} d{i} e{i} f{i} g{i} ends it now." for i in range(2)]
+    got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0].text == texts[0] and got[1].text == texts[1].replace(f"{passage} ", "") and got[1].n_removed == 3
+
+
 def test_edge_rows(spark):
     long = " ".join(f"word{i}." for i in range(20_000))
     rows = [(None, long), (1, None), (2, ""), (3, " \n "), (4, long), (4, long), (5, long), (6, "one. two. three.")]
