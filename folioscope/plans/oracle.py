@@ -114,6 +114,11 @@ ORACLE["header_csv_scan"] = _sql(
     """
 SELECT CAST(doc_id AS INTEGER) AS doc_id, id, authors, category, lang FROM articles""",
 )
+ORACLE["header_csv_long_text"] = _sql(
+    "articles",
+    """
+SELECT doc_id, nullif(concat_ws(chr(10) || '"a, b"' || chr(10), title, abstract), '') AS abstract FROM articles""",
+)
 ORACLE["html_taxonomy_extract"] = _sql(
     "taxonomy_parts",
     """

@@ -149,6 +149,16 @@ def header_csv_scan(spark, sf_dir):
     return delimited.read_header_csv(spark, path)
 
 
+@query("header_csv_long_text")
+def header_csv_long_text(spark, sf_dir):
+    path = fresh_path(spark, "long-text")
+    articles = _articles(spark, sf_dir).select("doc_id", F.concat_ws('\n"a, b"\n', "title", "abstract").alias("abstract"))
+    writer = articles.repartition(spark.sparkContext.defaultParallelism).write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    schema = articles.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    return delimited.read_header_csv(spark, path, schema, multi_line=True)
+
+
 @query("html_taxonomy_extract")
 def html_taxonomy_extract(spark, sf_dir):
     pages = open_view(spark, sf_dir, "taxonomy_pages")

@@ -33,10 +33,13 @@ def read_records(
 
 
 def read_header_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, delimiter: str = ","
+    spark: SparkSession, path: str, schema: StructType | None = None, delimiter: str = ",", multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header line. Without a schema, types are inferred by an extra pass."""
-    reader = spark.read.option("sep", delimiter).option("header", True).option("escape", '"')
+    """CSV with a header line. Without a schema, types are inferred by an extra pass.
+
+    With ``multi_line`` quoted values may hold line breaks. A file is then read by one task, so write many files.
+    """
+    reader = spark.read.option("sep", delimiter).option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

@@ -64,6 +64,14 @@ def test_delimiter_inside_a_field_shifts_columns(spark, tmp_path):
     assert (row["title"], row["abstract"], row["update_date"]) == ("T ", " two", "cs.AI")
 
 
+def test_header_csv_with_long_text(spark, tmp_path):
+    rows = [(1, 'a "quoted" word, and\na line break\n\n"end"'), (2, "plain"), (3, None), (4, "long " * 20_000 + "\nend")]
+    path = str(tmp_path / "long")
+    spark.createDataFrame(rows, "n int, text string").write.option("header", True).option("escape", '"').csv(path)
+    got = delimited.read_header_csv(spark, path, "n int, text string", multi_line=True).collect()
+    assert sorted((r.n, r.text) for r in got) == rows
+
+
 def test_header_csv(spark, tmp_path):
     path = tmp_path / "c.csv"
     path.write_text('main,n\n"a, ""b""",1\nc,2\n')
