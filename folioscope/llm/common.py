@@ -36,11 +36,25 @@ def open_docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own setting: whether a query's shuffle files are deleted when it ends, and not only when the driver's JVM notices that no plan refers to them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str) -> DataFrame:
+    """Write a step and read it back. Its shuffle files, which nothing reads after that, go when it is written."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the folder all executors share and read it back, so that a lost executor costs no recomputation."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write(df, fresh_path(df.sparkSession, name))
 
 
 class Scratch:
@@ -53,8 +67,7 @@ class Scratch:
         return self
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+        return write(df, f"{self.root}/{name}")
 
     def remove(self, name: str = "") -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
