@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import Scratch, chunks, components, mix, slices, store, text_bytes
+from folioscope.llm.common import Scratch, chunks, components, mix, release, slices, store, text_bytes
 from folioscope.llm.shingles import fragment_keys, levels, parity_sketch, set_digest, shingle_sets
 
 #: Fragments in which the overlap of a candidate pair is counted.
@@ -39,8 +39,11 @@ SKETCH = 16
 #: Documents that are compared with each other in one block.
 BLOCK = 1000
 
-#: Rows that a task gathers before it joins them and sends them on.
-GATHERED = 2_000_000
+#: Shingles that a task counts together, and keys that it gathers before it joins them and sends them on.
+GATHERED, GATHERED_KEYS = 2_000_000, 1_000_000
+
+#: Bytes of text made into sets at a time; numpy takes about fifty times as much meanwhile.
+SET_BYTES = 1 << 18
 
 #: Share of all documents from which a shingle counts as frequent; so these number at most the mean size of a set / FREQUENT_SHARE.
 FREQUENT_SHARE = 1e-3
@@ -55,7 +58,7 @@ STARS = 1
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
     for batch in slices(batches, 2048):
         ids, texts = batch.column("doc_id").to_pylist(), text_bytes(batch.column("text"))
-        for begin, end in chunks(texts):
+        for begin, end in chunks(texts, SET_BYTES):
             yield from zip(ids[begin:end], shingle_sets(texts[begin:end], words), strict=True)
 
 
@@ -100,9 +103,15 @@ def _often(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
         seen: set[bytes] = set()
 
         def counted() -> pa.RecordBatch:
-            shingle, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= 3
-            return pa.RecordBatch.from_arrays([pa.array(shingle[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
+            shingles = np.concatenate(held)
+            held.clear()
+            shingles.sort()
+            often = np.zeros(shingles.size, bool)  # first of three equal ones or more
+            often[:-2] = shingles[2:] == shingles[:-2]
+            often[1:] &= shingles[1:] != shingles[:-1]
+            first = np.flatnonzero(often)
+            n = np.searchsorted(shingles, shingles[first], side="right") - first
+            return pa.RecordBatch.from_arrays([pa.array(shingles[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
 
         for _, shingles in _sets(batches, words):
             digest = set_digest(shingles)
@@ -111,9 +120,10 @@ def _often(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
                 held.append(shingles)
             if len(held) % 256 == 255 and sum(map(len, held)) > GATHERED:
                 yield counted()
-                held, seen = [], set()
+                seen.clear()
         if held:
             yield counted()
+        release()
 
     return run
 
@@ -148,7 +158,7 @@ def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]
                 keys.append(made)
                 ids.append(np.full(len(made), doc_id, np.int64))
                 held += len(made)
-            if held > GATHERED:
+            if held > GATHERED_KEYS:
                 yield _joined(keys, ids)
                 keys, ids, held, seen = [], [], 0, set()
             if len(info) >= 10_000:
@@ -158,6 +168,8 @@ def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]
             yield _joined(keys, ids)
         if info:
             yield documents()
+        keys, ids, info = [], [], []
+        release()
 
     return run
 
@@ -191,6 +203,8 @@ def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBat
                     rows = []
         if rows:
             yield made()
+        rows = []
+        release()
 
     return run
 

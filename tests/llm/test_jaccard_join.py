@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -147,3 +148,19 @@ def test_sql(spark, data):
 
     want = sorted(connect(data).sql(ORACLE["op10_jaccard_join"]).fetchall())
     assert sorted(tuple(r) for r in QUERIES["op10_jaccard_join"](spark, data).collect()) == want
+
+
+@pytest.mark.parametrize("gathered", [10, 10**6])
+@pytest.mark.parametrize("texts", [[], [None], ["a"], ["a b"], ["a b", "a b c", "a c d", None, "", "d a", "a b", "b e"] + [f"w{i} a" for i in range(300)]])
+def test_often_counts_each_set_once(texts, gathered, monkeypatch):
+    """Words in three different sets or more, and in how many; sets that repeat count once, in parts of at least 255 sets."""
+    monkeypatch.setattr(jaccard_join, "GATHERED", gathered)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    found = [r for b in jaccard_join._often(1)([batch]) for r in b.to_pylist()]
+    sets = list(dict.fromkeys(frozenset(s) for s in (plain_set(t, 1) for t in texts)))
+    parts = [sets[:255], sets[255:]] if gathered == 10 else [sets]
+    wanted = []
+    for part in parts:
+        words = {w for s in part for w in s}
+        wanted += [n for n in (sum(w in s for s in part) for w in words) if n >= 3]
+    assert sorted(r["n"] for r in found) == sorted(wanted)
