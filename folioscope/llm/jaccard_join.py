@@ -42,6 +42,9 @@ BLOCK = 1000
 #: Shingles that a task counts together, and keys that it gathers before it joins them and sends them on.
 GATHERED, GATHERED_KEYS = 2_000_000, 1_000_000
 
+#: Key rows in a batch that a task sends on.
+SENT_ROWS = 1 << 15
+
 #: Bytes of text made into sets at a time; numpy takes about fifty times as much meanwhile.
 SET_BYTES = 1 << 18
 
@@ -82,17 +85,32 @@ def _rows(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(a), pa.array(b), *empty], names=["key", "a", "b", "n", "digest"])
 
 
-def _joined(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-    """One row for each key with its smallest document, and rows of their own for pairs of that and each other document."""
+def _joined(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row for each key with its smallest document, and rows of their own for pairs of that and each other document.
+
+    The lists are emptied, and the rows sent in small batches: whole ones would stand in the worker and once more in its executor.
+    """
     key, doc = np.concatenate(keys), np.concatenate(ids)
-    order = np.lexsort((doc, key))
+    keys.clear()
+    ids.clear()
+    order = np.argsort(key)
     key, doc = key[order], doc[order]
+    del order
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    centre = np.repeat(doc[first], np.diff(np.append(first, len(key))))
+    least = np.minimum.reduceat(doc, first)
+    centre = np.repeat(least, np.diff(np.append(first, len(key))))
     other = centre != doc
     pairs = np.unique(np.stack([centre[other], doc[other]], axis=1), axis=0)
-    own = mix(mix(pairs[:, 0].view(np.uint64)) + pairs[:, 1].view(np.uint64))  # spreads the pairs; a key they share with others does no harm
-    return _rows(np.concatenate([key[first], own]), np.concatenate([doc[first], pairs[:, 0]]), np.concatenate([doc[first], pairs[:, 1]]))
+    order = np.argsort(least, kind="stable")  # a document's keys together take less room
+    key, least = key[first][order], least[order]
+    del doc, centre, other, first, order
+    for begin in range(0, len(key), SENT_ROWS):
+        to = slice(begin, begin + SENT_ROWS)
+        yield _rows(key[to], least[to], least[to])
+    for begin in range(0, len(pairs), SENT_ROWS):
+        a, b = pairs[begin : begin + SENT_ROWS].T
+        own = mix(mix(a.view(np.uint64)) + b.view(np.uint64))  # spreads the pairs; a key they share with others does no harm
+        yield _rows(own, a, b)
 
 
 def _often(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -159,13 +177,14 @@ def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]
                 ids.append(np.full(len(made), doc_id, np.int64))
                 held += len(made)
             if held > GATHERED_KEYS:
-                yield _joined(keys, ids)
-                keys, ids, held, seen = [], [], 0, set()
+                yield from _joined(keys, ids)
+                held = 0
+                seen.clear()
             if len(info) >= 10_000:
                 yield documents()
                 info = []
         if keys:
-            yield _joined(keys, ids)
+            yield from _joined(keys, ids)
         if info:
             yield documents()
         keys, ids, info = [], [], []
@@ -174,7 +193,7 @@ def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]
     return run
 
 
-def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _details(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of (doc_id, text, wanted): one row for each set whose digest is wanted; a task sends each once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +202,9 @@ def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBat
 
         def made() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.binary())]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "n", "sketch", "keys", "parts"])
+            return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "n", "sketch", "parts"])
 
         for batch in batches:
             wanted = batch.column("wanted").to_pylist()
@@ -196,8 +215,7 @@ def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBat
                 sent.add(digest)
                 cuts = np.searchsorted(shingles, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(65 - PARTS.bit_length()))
                 parts = [p.tobytes() for p in np.split(shingles, cuts)]
-                keys = fragment_keys(shingles, share, shipped.value).view(np.int64)
-                rows.append((digest, doc_id, len(shingles), parity_sketch(shingles, SKETCH), keys, parts))
+                rows.append((digest, doc_id, len(shingles), parity_sketch(shingles, SKETCH), parts))
                 if len(rows) >= 200:
                     yield made()
                     rows = []
@@ -209,6 +227,34 @@ def _details(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBat
     return run
 
 
+def _set_keys(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (doc_id, text, wanted): the keys of each set whose digest is wanted; a task sends each once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
+        for batch in batches:
+            wanted = batch.column("wanted").to_pylist()
+            rows: list[tuple] = []
+            for want, (doc_id, shingles) in zip(wanted, _sets([batch], words), strict=True):
+                if want not in sent and set_digest(shingles) == want:
+                    sent.add(want)
+                    rows.append((want, doc_id, fragment_keys(shingles, share, shipped.value).view(np.int64)))
+                if len(rows) >= 200:
+                    yield _key_lists(rows)
+                    rows = []
+            if rows:
+                yield _key_lists(rows)
+        release()
+
+    return run
+
+
+def _key_lists(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64())]
+    arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "keys"])
+
+
 def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size of the overlap of each row's two parts."""
     for batch in batches:
@@ -299,11 +345,18 @@ def _block_pairs(share: int, turn: int | None) -> Callable[[Iterable[pa.RecordBa
     return run
 
 
-def _shared_keys(details: DataFrame) -> DataFrame:
-    """Rows (key, digest) of the keys that several sets have."""
-    rows = details.select(F.explode("keys").alias("key"), "digest")
-    several = rows.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
-    return rows.join(several.select("key"), "key", "left_semi")
+def _shared_keys(scratch: Scratch, keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored rows (key, digest) of the keys that sets of different classes have, from stored rows (digest, doc, keys).
+
+    Classes only grow together, so a key that is left out here stays explained. Its class, a number, stands for a set while keys are
+    counted; digests are read again only for the keys that remain.
+    """
+    classes = keys.select("doc", "keys").join(_known(labels.toDF("doc", "label")), "doc", "left")
+    rows = classes.select(F.explode("keys").alias("key"), F.coalesce("label", "doc").alias("label"))
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    mixed = scratch.store(mixed.select("key"), "mixed-keys")
+    rows = keys.select(F.explode("keys").alias("key"), "digest")
+    return scratch.store(rows.join(_known(mixed), "key", "left_semi"), "shared")
 
 
 def _remaining(shared: DataFrame, details: DataFrame, labels: DataFrame, share: int, turn: int | None) -> DataFrame:
@@ -366,11 +419,8 @@ def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple
     wanted = pairs.select("a").union(pairs.select("b")).toDF("digest").distinct().join(firsts, "digest")
     wanted = scratch.store(wanted.select("doc", "digest"), "wanted")
     texts = docs.join(_known(wanted.toDF("doc_id", "wanted")), "doc_id")
-    details = texts.mapInArrow(
-        _details(words, share, frequent), "digest binary, doc long, n int, sketch array<long>, keys array<long>, parts array<binary>"
-    )
+    details = texts.mapInArrow(_details(words), "digest binary, doc long, n int, sketch array<long>, parts array<binary>")
     details = scratch.store(details, "details")
-    shared = scratch.store(_shared_keys(details), "shared")
 
     def as_documents(links: DataFrame) -> DataFrame:
         named = links.join(wanted.toDF("da", "a"), "a").join(wanted.toDF("db", "b"), "b")
@@ -379,6 +429,10 @@ def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple
     copies = sets.join(firsts, "digest").where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     edges = scratch.store(copies.union(as_documents(_links(scratch, "linked-0", pairs, details, share))), "edges")
     labels = components(edges, "classes")
+    # only now, and not for long: they take as much room as the sets themselves
+    keys = scratch.store(texts.mapInArrow(_set_keys(words, share, frequent), "digest binary, doc long, keys array<long>"), "keys")
+    shared = _shared_keys(scratch, keys, labels)
+    scratch.remove("keys")
     for turn in range(1, STARS + 2):
         rest = scratch.store(_remaining(shared, details, labels, share, turn if turn <= STARS else None), f"rest-{turn}")
         if rest.isEmpty():

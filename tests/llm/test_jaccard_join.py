@@ -164,3 +164,31 @@ def test_often_counts_each_set_once(texts, gathered, monkeypatch):
         words = {w for s in part for w in s}
         wanted += [n for n in (sum(w in s for s in part) for w in words) if n >= 3]
     assert sorted(r["n"] for r in found) == sorted(wanted)
+
+
+def test_key_rows_leave_in_small_batches(monkeypatch):
+    """Smallest document of each key and pairs with it, however the rows are cut into batches."""
+    monkeypatch.setattr(jaccard_join, "SENT_ROWS", 7)
+    keys = np.array([5, 9, 5, 7, 9, 9, *range(100, 130)], np.uint64)
+    docs = np.array([3, 8, 1, 4, 2, 8, *range(130, 100, -1)], np.int64)
+    held = [keys[:20], keys[20:]], [docs[:20], docs[20:]]
+    batches = list(jaccard_join._joined(*held))
+    assert held == ([], [])
+    assert len(batches) > 5 and all(b.num_rows <= 7 for b in batches)
+    rows = [r for b in batches for r in b.to_pylist()]
+    least = {}
+    for key, doc in zip(keys.tolist(), docs.tolist(), strict=True):
+        least[key] = min(doc, least.get(key, doc))
+    assert sorted((r["key"], r["a"]) for r in rows if r["a"] == r["b"]) == sorted(least.items())
+    assert sorted((r["a"], r["b"]) for r in rows if r["a"] != r["b"]) == [(1, 3), (2, 8)]
+
+
+def test_only_keys_of_several_classes_are_shared(spark, monkeypatch):
+    """Sets 1, 2 and 3 are one class and 4 another; keys 10 and 30 are within one."""
+    keys = spark.createDataFrame([(b"a", 1, [10, 20]), (b"b", 2, [10, 30]), (b"c", 3, [30]), (b"d", 4, [20, 40])], "digest binary, doc long, keys array<long>")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node long, label long")
+    for limit in (0, 10):
+        monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", limit)
+        with jaccard_join.Scratch(spark, "keys") as scratch:
+            found = jaccard_join._shared_keys(scratch, keys, labels)
+            assert sorted((r["key"], bytes(r["digest"])) for r in found.collect()) == [(20, b"a"), (20, b"d")]
