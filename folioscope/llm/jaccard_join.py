@@ -10,10 +10,12 @@ Method: the shingles of all documents have one global order, that of their 64-bi
    keys one goes on, and its links to the others are candidates themselves. So a key that many documents share reaches the
    shuffle once for each task. Documents with equal keys form a star around the smallest.
 2. Partial overlaps. For each candidate pair the overlap is counted in each of PARTS fragments by itself, and summed. A parity sketch,
-   whose distance never exceeds the sets' difference, spares pairs that cannot be linked.
-3. Rest. A star may miss links between its outer members. Keys whose documents are not yet in one class are looked at again: first with other
-   centres, then all pairs of documents of different classes, in blocks of bounded size, by their sketches; what may be
-   linked is counted as in 2. After that no link between different classes is left, so the classes are exact.
+   whose distance never exceeds the sets' difference, spares pairs that cannot be linked. The fragments are made from the texts of the sets
+   that have such a pair, and of a pair only one set is sent to the other, the one of more pairs, which is sent once for a block of them.
+3. Rest. A star may miss links between its outer members; one of two members has none. Keys of three sets or more whose documents are not yet
+   in one class are looked at again: first with other centres, then all pairs of documents of different classes, in blocks of bounded
+   size, by their sketches; what may be linked, and was not counted before, is counted as in 2. After that no link between different
+   classes is left, so the classes are exact.
 
 Equal sets are linked without comparison. Documents without words or text are linked with nothing; sizes and classes come back for each input
 row. Rows without an identifier take no part and have no class; their sets' sizes come back like the others'. Rows that share an identifier are one document, whose links are those of all
@@ -21,30 +23,43 @@ its texts. Extra columns are not read. Two different shingles share a hash with
 """
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import Scratch, chunks, components, mix, release, slices, store, text_bytes
+from folioscope.llm.common import Scratch, chunks, components, gather, mix, release, release_heaps, slices, store, text_bytes
 from folioscope.llm.shingles import fragment_keys, levels, parity_sketch, set_digest, shingle_sets
 
 #: Fragments in which the overlap of a candidate pair is counted.
 PARTS = 4
 
-#: 64-bit words of a parity sketch.
+#: 64-bit words of the parity sketch that sets under one key are compared by.
 SKETCH = 16
 
-#: Documents that are compared with each other in one block.
+#: Shingles for each 64-bit word of a set's own, wider sketch: one of fixed width says nothing of sets that may differ in more shingles than it has bits.
+SHINGLES_PER_WORD = 16
+
+#: Documents that are compared with each other in one block, or with one.
 BLOCK = 1000
 
+#: Parts of the keys that are joined one after another, so that the shuffle files of one only stand beside the stored keys.
+KEY_TURNS = 4
+
+#: Bits of a bitmap of keys: for each key, in a row of it (4 KB), and at most (16 MB). More keys only make it less selective.
+BITS_PER_KEY, ROW_BITS, MOST_BITS = 16, 1 << 15, 1 << 27
+
 #: Shingles that a task counts together, and keys that it gathers before it joins them and sends them on.
 GATHERED, GATHERED_KEYS = 2_000_000, 1_000_000
 
 #: Key rows in a batch that a task sends on.
 SENT_ROWS = 1 << 15
 
+#: Bytes of sets' fragments in a batch that a task sends on, about.
+SENT_BYTES = 4 << 20
+
 #: Bytes of text made into sets at a time; numpy takes about fifty times as much meanwhile.
 SET_BYTES = 1 << 18
 
@@ -79,14 +94,16 @@ def _sizes(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
 _KEY_ROWS = "key long, a long, b long, n int, digest binary"
 
 
-def _rows(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    n = len(keys)
-    empty = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(a), pa.array(b), *empty], names=["key", "a", "b", "n", "digest"])
+def _rows(keys: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
+    rows = len(keys)
+    sets = pa.nulls(rows, pa.int32()) if n is None else pa.array(n.astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys.view(np.int64)), pa.array(a), pa.array(b), sets, pa.nulls(rows, pa.binary())], names=["key", "a", "b", "n", "digest"]
+    )
 
 
 def _joined(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """One row for each key with its smallest document, and rows of their own for pairs of that and each other document.
+    """One row for each key with its smallest document and its number of sets, and rows of their own for pairs of that and each other document.
 
     The lists are emptied, and the rows sent in small batches: whole ones would stand in the worker and once more in its executor.
     """
@@ -98,15 +115,16 @@ def _joined(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.Record
     del order
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     least = np.minimum.reduceat(doc, first)
-    centre = np.repeat(least, np.diff(np.append(first, len(key))))
+    sets = np.diff(np.append(first, len(key)))
+    centre = np.repeat(least, sets)
     other = centre != doc
     pairs = np.unique(np.stack([centre[other], doc[other]], axis=1), axis=0)
     order = np.argsort(least, kind="stable")  # a document's keys together take less room
-    key, least = key[first][order], least[order]
+    key, least, sets = key[first][order], least[order], sets[order]
     del doc, centre, other, first, order
     for begin in range(0, len(key), SENT_ROWS):
         to = slice(begin, begin + SENT_ROWS)
-        yield _rows(key[to], least[to], least[to])
+        yield _rows(key[to], least[to], least[to], sets[to])
     for begin in range(0, len(pairs), SENT_ROWS):
         a, b = pairs[begin : begin + SENT_ROWS].T
         own = mix(mix(a.view(np.uint64)) + b.view(np.uint64))  # spreads the pairs; a key they share with others does no harm
@@ -193,18 +211,35 @@ def _scan(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]
     return run
 
 
+def _width(size: int) -> int:
+    """Words of a set's wide sketch: a power of two, as sketches of such widths can be folded to the same."""
+    return max(SKETCH, 1 << (size // SHINGLES_PER_WORD).bit_length())
+
+
+def _folded(sketch: Column, other: Column) -> Column:
+    """The sketch as it is at the other's width, if that is smaller; its parts are powers of two."""
+    size, parts = F.size(other), F.call_function("div", F.size(sketch), F.size(other)).cast("int")
+    whole = F.aggregate(
+        F.sequence(F.lit(1), parts - 1),
+        F.slice(sketch, F.lit(1), size),
+        lambda t, i: F.zip_with(t, F.slice(sketch, i * size + 1, size), lambda x, y: x.bitwiseXOR(y)),
+    )
+    return F.when(F.size(sketch) <= size, sketch).otherwise(whole)
+
+
 def _details(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of (doc_id, text, wanted): one row for each set whose digest is wanted; a task sends each once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         sent: set[bytes] = set()
+        held = 0
 
         def made() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "n", "sketch", "parts"])
+            return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "n", "sketch", "wide"])
 
         for batch in batches:
             wanted = batch.column("wanted").to_pylist()
@@ -213,12 +248,11 @@ def _details(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
                 if digest != want or digest in sent:
                     continue
                 sent.add(digest)
-                cuts = np.searchsorted(shingles, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(65 - PARTS.bit_length()))
-                parts = [p.tobytes() for p in np.split(shingles, cuts)]
-                rows.append((digest, doc_id, len(shingles), parity_sketch(shingles, SKETCH), parts))
-                if len(rows) >= 200:
+                rows.append((digest, doc_id, len(shingles), parity_sketch(shingles, SKETCH), parity_sketch(shingles, _width(len(shingles)))))
+                held += len(rows[-1][-1])
+                if len(rows) >= 1000 or 8 * held > SENT_BYTES:
                     yield made()
-                    rows = []
+                    rows, held = [], 0
         if rows:
             yield made()
         rows = []
@@ -227,8 +261,66 @@ def _details(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def _set_keys(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of (doc_id, text, wanted): the keys of each set whose digest is wanted; a task sends each once."""
+_DETAILS = "digest binary, doc long, n int, sketch array<long>, wide array<long>"
+
+
+def _parts(words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (doc_id, text, wanted, roles): the set's fragments for each of its roles (hub, block, whether it is the hub), if its digest is wanted."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            wanted, roles = batch.column("wanted").to_pylist(), batch.column("roles").to_pylist()
+            rows: list[tuple] = []
+            held = 0
+            for want, own, (_, shingles) in zip(wanted, roles, _sets([batch], words), strict=True):
+                if set_digest(shingles) != want:
+                    continue
+                cuts = np.searchsorted(shingles, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(65 - PARTS.bit_length()))
+                parts = [p.tobytes() for p in np.split(shingles, cuts)]
+                for role in own:
+                    spoke = None if role["is_hub"] else want
+                    rows += [(role["hub"], role["block"], part, spoke, len(shingles), x) for part, x in enumerate(parts)]
+                    held += 8 * len(shingles)
+                    if held > SENT_BYTES:
+                        yield _part_rows(rows)
+                        rows, held = [], 0
+            if rows:
+                yield _part_rows(rows)
+        release()
+
+    return run
+
+
+_PART_ROWS = "hub binary, block int, part int, spoke binary, n int, x binary"
+
+
+def _part_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+    arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["hub", "block", "part", "spoke", "n", "x"])
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bytes of a bitmap of the keys, by their lowest bits; tasks' own bitmaps are merged, so its size alone is shuffled and sent."""
+    size, wished = ROW_BITS, min(MOST_BITS, keys.count() * BITS_PER_KEY)
+    while size < wished:
+        size *= 2
+    bit = F.col("key").bitwiseAND(F.lit(size - 1))
+    placed = keys.select(F.call_function("div", bit, F.lit(ROW_BITS)).alias("row"), (bit % ROW_BITS).alias("place"))
+    out = np.zeros((size // ROW_BITS, ROW_BITS // 8), np.uint8)
+    for row, bits in gather(placed.groupBy("row").agg(F.bitmap_construct_agg("place").alias("bits"))):
+        out[row] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def _marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each key's bit is set."""
+    at = (keys & np.uint64(8 * bits.size - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _set_keys(words: int, share: int, shipped, marks) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (doc_id, text, wanted): those keys of each set whose digest is wanted that the bitmap ``marks`` holds; a task sends each set once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
@@ -238,7 +330,10 @@ def _set_keys(words: int, share: int, shipped) -> Callable[[Iterable[pa.RecordBa
             for want, (doc_id, shingles) in zip(wanted, _sets([batch], words), strict=True):
                 if want not in sent and set_digest(shingles) == want:
                     sent.add(want)
-                    rows.append((want, doc_id, fragment_keys(shingles, share, shipped.value).view(np.int64)))
+                    keys = fragment_keys(shingles, share, shipped.value)
+                    keys = keys[_marked(keys, marks.value)]
+                    if keys.size:
+                        rows.append((want, doc_id, keys.view(np.int64)))
                 if len(rows) >= 200:
                     yield _key_lists(rows)
                     rows = []
@@ -256,45 +351,83 @@ def _key_lists(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size of the overlap of each row's two parts."""
-    for batch in batches:
-        sizes = [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)
-        ]
-        names = ["a", "b", "na", "nb", "part"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sizes, pa.int64())], names=[*names, "overlap"])
-
-
-def _known(ids: DataFrame) -> DataFrame:
+    """Size of the overlap of each spoke's fragment with the hub's, of rows sorted by (hub, block, part), the hub's own first."""
+    group, x = None, np.zeros(0, np.uint64)
+    size = 0
+    for batch in slices(batches, 512):
+        found = []
+        columns = [batch.column(c).to_pylist() for c in ("hub", "block", "part", "spoke", "n", "x")]
+        for hub, block, part, spoke, n, raw in zip(*columns, strict=True):
+            fragment = np.frombuffer(raw, np.uint64)
+            if spoke is None:
+                group, x, size = (hub, block, part), fragment, n
+            elif group != (hub, block, part):
+                raise ValueError("a set to compare with is missing")
+            else:
+                found.append((hub, spoke, size, n, part, len(np.intersect1d(x, fragment, assume_unique=True))))
+        if found:
+            kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "na", "nb", "part", "overlap"])
+
+
+def _known(ids: DataFrame, limit: int | None = None) -> DataFrame:
     """Identifiers to look up: broadcast if they are few enough, else left to a shuffled join."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return F.broadcast(ids) if ids.count() <= (BROADCAST_IDS if limit is None else limit) else ids
+
 
+def _roles(near: DataFrame) -> DataFrame:
+    """Rows (digest, roles) for the sets of pairs (a, b): each pair has a hub, the set of more pairs, to which the other's fragments go.
 
-def _links(scratch: Scratch, name: str, pairs: DataFrame, details: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) of digests that are linked: sketches first, then overlaps counted part by part and summed."""
-    short = details.select("digest", "n", "sketch")
+    A hub's pairs are cut into blocks of bounded size. A role is (hub, block, whether the set is the hub itself).
+    """
+    degree = near.select("a").union(near.select("b")).toDF("digest").groupBy("digest").agg(F.count("*").alias("pairs"))
+    both = near.select("a", "b").join(degree.toDF("a", "pa"), "a").join(degree.toDF("b", "pb"), "b")
+    first = F.col("pa") >= F.col("pb")
+    both = both.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("digest"),
+        F.ceil(F.greatest("pa", "pb") / F.lit(BLOCK)).cast("int").alias("blocks"),
+    ).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    hubs = both.select(F.col("hub").alias("digest"), "hub", "block", F.lit(True).alias("is_hub")).distinct()
+    rows = both.select("digest", "hub", "block", F.lit(False).alias("is_hub")).union(hubs)
+    return rows.groupBy("digest").agg(F.collect_list(F.struct("hub", "block", "is_hub")).alias("roles"))
+
+
+def _links(scratch: Scratch, name: str, pairs: DataFrame, details: DataFrame, sets: tuple[DataFrame, int], share: int, counted: list[DataFrame]) -> DataFrame:
+    """The pairs (a, b) of digests that are linked: sketches first, then overlaps counted part by part and summed.
+
+    ``sets`` are all documents and the words of a shingle. Pairs already ``counted`` are left out; those counted here join them.
+    """
+    short = details.select("digest", "n", "wide")
     near = (
         pairs.join(short.toDF("a", "na", "sa"), "a")
         .join(short.toDF("b", "nb", "sb"), "b")
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * share)
     )
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    sa, sb = _folded(F.col("sa"), F.col("sb")), _folded(F.col("sb"), F.col("sa"))
+    apart = F.aggregate(F.zip_with(sa, sb, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     # linked sets differ in at most this many shingles
-    near = near.where(apart * (100 + share) <= (F.col("na") + F.col("nb")) * (100 - share)).select("a", "b", "na", "nb")
-    near = scratch.store(near.distinct(), f"{name}-near")
-    ends = _known(near.select("a").union(near.select("b")).toDF("digest").distinct())
-    parts = details.join(ends, "digest", "left_semi").select("digest", F.posexplode("parts").alias("part", "x"))
-    both = (
-        near.join(parts.toDF("a", "part", "xa"), "a")
-        .join(parts.toDF("b", "part", "xb"), ["b", "part"])
-        .select("a", "b", "na", "nb", "part", "xa", "xb")
-    )
-    counted = both.mapInArrow(_overlaps, "a binary, b binary, na int, nb int, part int, overlap long")
-    # a set may come from several tasks; its parts are the same, so the largest is each of them
-    counted = counted.groupBy("a", "b", "na", "nb", "part").agg(F.max("overlap").alias("overlap"))
-    counted = counted.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("i"))
-    linked = counted.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * share).select("a", "b")
+    near = near.where(apart * (100 + share) <= (F.col("na") + F.col("nb")) * (100 - share)).select("a", "b").distinct()
+    for before in counted:
+        near = near.join(before, ["a", "b"], "left_anti")
+    near = scratch.store(near, f"{name}-near")
+    counted.append(near)
+    docs, words = sets
+    roles = scratch.store(_roles(near).join(details.select("digest", "doc").distinct(), "digest"), f"{name}-roles")
+    if roles.isEmpty():
+        return scratch.store(near, name)
+    few = roles.agg(F.sum(F.size("roles"))).first()[0] <= BROADCAST_IDS // 4
+    wanted = roles.select(F.col("doc").alias("doc_id"), F.col("digest").alias("wanted"), "roles")
+    texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("doc_id", "text", "wanted", "roles")
+    rows = texts.mapInArrow(_parts(words), _PART_ROWS)
+    order = ["hub", "block", "part"]
+    dealt = rows.repartition(*order).sortWithinPartitions(*order, F.asc_nulls_first("spoke"))
+    found = dealt.mapInArrow(_overlaps, "a binary, b binary, na int, nb int, part int, overlap long")
+    # a document may come several times; its parts are the same, so the largest is each of them
+    found = found.groupBy("a", "b", "na", "nb", "part").agg(F.max("overlap").alias("overlap"))
+    found = found.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("i"))
+    linked = found.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * share).select("a", "b")
     return scratch.store(linked, name)
 
 
@@ -345,6 +478,16 @@ def _block_pairs(share: int, turn: int | None) -> Callable[[Iterable[pa.RecordBa
     return run
 
 
+def _met(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """Of rows (key, a, n): (key, to, centre, sets) of documents with another centre, and of all under keys of more than two sets; stored."""
+    same, parts = Window.partitionBy("key"), []
+    for turn in range(KEY_TURNS):
+        some = rows.where(F.pmod("key", F.lit(KEY_TURNS)) == turn)
+        some = some.select("key", F.col("a").alias("to"), F.min("a").over(same).alias("centre"), F.sum("n").over(same).alias("sets"))
+        parts.append(scratch.store(some.where("centre <> to or sets > 2"), f"met/{turn}"))
+    return reduce(DataFrame.union, parts)
+
+
 def _shared_keys(scratch: Scratch, keys: DataFrame, labels: DataFrame) -> DataFrame:
     """Stored rows (key, digest) of the keys that sets of different classes have, from stored rows (digest, doc, keys).
 
@@ -396,6 +539,7 @@ def join(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
 def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFrame]:
     """Stored rows (doc_id, n) of all documents with an identifier, and (node, label) of those that are linked."""
     known = docs.where("doc_id is not null")
+    release_heaps(docs.sparkSession)
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(known, words))
     scanned = scratch.store(known.mapInArrow(_scan(words, share, frequent), _KEY_ROWS), "fragments")
     info = scratch.store(scanned.where("key is null").select(F.col("a").alias("doc_id"), "n", "digest"), "info")
@@ -403,9 +547,8 @@ def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple
     firsts = scratch.store(sets.groupBy("digest").agg(F.min("doc_id").alias("doc")), "equal-sets")
 
     keyed = scanned.where("key is not null")
-    centre = F.min("a").over(Window.partitionBy("key")).alias("centre")
-    stars = keyed.where("a = b").select("key", "a").select(centre, F.col("a").alias("to")).where("centre <> to")
-    stars = stars.union(keyed.where("a <> b").select("a", "b")).distinct()
+    met = _met(scratch, keyed.where("a = b").select("key", "a", "n"))
+    stars = met.where("centre <> to").select("centre", "to").union(keyed.where("a <> b").select("a", "b")).distinct()
     by_doc = sets.select("doc_id", "digest").distinct()
     pairs = (
         stars.join(by_doc.toDF("centre", "x"), "centre")
@@ -416,29 +559,35 @@ def _classes(scratch: Scratch, docs: DataFrame, words: int, share: int) -> tuple
     )
     pairs = scratch.store(pairs, "star-pairs")
     scratch.remove("fragments")
+    several = docs.sparkSession.sparkContext.broadcast(_bitmap(met.where("sets > 2").select("key")))
+    scratch.remove("met")
+    release_heaps(docs.sparkSession)
     wanted = pairs.select("a").union(pairs.select("b")).toDF("digest").distinct().join(firsts, "digest")
     wanted = scratch.store(wanted.select("doc", "digest"), "wanted")
     texts = docs.join(_known(wanted.toDF("doc_id", "wanted")), "doc_id")
-    details = texts.mapInArrow(_details(words), "digest binary, doc long, n int, sketch array<long>, parts array<binary>")
-    details = scratch.store(details, "details")
+    details = scratch.store(texts.mapInArrow(_details(words), _DETAILS), "details")
 
     def as_documents(links: DataFrame) -> DataFrame:
         named = links.join(wanted.toDF("da", "a"), "a").join(wanted.toDF("db", "b"), "b")
         return named.select(F.col("da").alias("a"), F.col("db").alias("b"))
 
     copies = sets.join(firsts, "digest").where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    edges = scratch.store(copies.union(as_documents(_links(scratch, "linked-0", pairs, details, share))), "edges")
+    counted: list[DataFrame] = []
+    linked = _links(scratch, "linked-0", pairs, details, (known, words), share, counted)
+    edges = scratch.store(copies.union(as_documents(linked)), "edges")
     labels = components(edges, "classes")
-    # only now, and not for long: they take as much room as the sets themselves
-    keys = scratch.store(texts.mapInArrow(_set_keys(words, share, frequent), "digest binary, doc long, keys array<long>"), "keys")
+    keys = texts.mapInArrow(_set_keys(words, share, frequent, several), "digest binary, doc long, keys array<long>")
+    keys = scratch.store(keys, "keys")
     shared = _shared_keys(scratch, keys, labels)
     scratch.remove("keys")
     for turn in range(1, STARS + 2):
         rest = scratch.store(_remaining(shared, details, labels, share, turn if turn <= STARS else None), f"rest-{turn}")
         if rest.isEmpty():
             continue
-        more = _links(scratch, f"linked-{turn}", rest, details, share)
+        more = _links(scratch, f"linked-{turn}", rest, details, (known, words), share, counted)
         if not more.isEmpty():
             edges = edges.union(as_documents(more))
             labels = components(edges, "classes")
-    return store(info.select("doc_id", "n"), "sizes"), labels
+    sizes = store(info.select("doc_id", "n"), "sizes")
+    release_heaps(docs.sparkSession)
+    return sizes, labels

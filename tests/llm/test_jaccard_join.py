@@ -192,3 +192,78 @@ def test_only_keys_of_several_classes_are_shared(spark, monkeypatch):
         with jaccard_join.Scratch(spark, "keys") as scratch:
             found = jaccard_join._shared_keys(scratch, keys, labels)
             assert sorted((r["key"], bytes(r["digest"])) for r in found.collect()) == [(20, b"a"), (20, b"d")]
+
+
+def test_keys_tell_their_sets():
+    """How many sets of a task have a key, so that keys of two, whose only pair is a candidate already, are not looked at again."""
+    keys, docs = np.array([5, 9, 5, 7, 9, 9], np.uint64), np.array([3, 8, 1, 4, 2, 8], np.int64)
+    rows = [r for b in jaccard_join._joined([keys], [docs]) for r in b.to_pylist()]
+    assert sorted((r["key"], r["n"]) for r in rows if r["a"] == r["b"]) == [(5, 2), (7, 1), (9, 3)]
+
+
+def test_keys_that_sets_meet_under(spark, monkeypatch):
+    """All rows of keys of three sets or more, and of others those of documents with another centre; one part of the keys at a time is shuffled."""
+    rows = [(1, 7, 1), (2, 8, 1), (2, 9, 1), (3, 4, 2), (-4, 6, 3), (5, 2, 1), (5, 1, 1), (5, 3, 1)]
+    stored = []
+    with jaccard_join.Scratch(spark, "met") as scratch:
+        monkeypatch.setattr(scratch, "store", lambda df, name, f=scratch.store: stored.append(name) or f(df, name))
+        met = jaccard_join._met(scratch, spark.createDataFrame(rows, "key long, a long, n int"))
+        want = [(-4, 6, 6, 3), (2, 9, 8, 2), (5, 1, 1, 3), (5, 2, 1, 3), (5, 3, 1, 3)]
+        assert sorted(tuple(r) for r in met.select("key", "to", "centre", "sets").collect()) == want
+        assert len(stored) == jaccard_join.KEY_TURNS > 1
+        marks = jaccard_join._bitmap(met.where("sets > 2").select("key"))
+    keys = np.array([-4, 1, 2, 5, 32768 + 6], np.int64).view(np.uint64)
+    assert jaccard_join._marked(keys, marks).tolist() == [True, False, False, True, False]
+
+
+@pytest.mark.parametrize("size, other", [(40, 40), (300, 3000), (3000, 300), (70_000, 300)])
+def test_wide_sketches_fold_to_the_narrower(spark, size, other):
+    rng = np.random.default_rng(size)
+    a, b = (np.unique(rng.integers(0, 2**64, n, np.uint64)) for n in (size, other))
+    wide = [jaccard_join._width(n) for n in (size, other)]
+    row = [(shingles.parity_sketch(a, wide[0]).tolist(), shingles.parity_sketch(b, wide[1]).tolist())]
+    df = spark.createDataFrame(row, "a array<long>, b array<long>")
+    got = df.select(jaccard_join._folded(df.a, df.b).alias("x"), jaccard_join._folded(df.b, df.a).alias("y")).first()
+    assert [got.x, got.y] == [shingles.parity_sketch(s, min(wide)).tolist() for s in (a, b)]
+    # enough bits to tell sets apart that share nothing
+    assert 64 * wide[0] >= 4 * shingles.most_apart(size, 80)
+
+
+def test_a_hub_is_sent_once_for_a_block(spark, monkeypatch):
+    """Of a pair one set goes to the other; before, both went through two joins for each pair."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    pairs = [(b"h", bytes([i])) if i % 2 else (bytes([i]), b"h") for i in range(10)] + [(b"x", b"y")]
+    roles = jaccard_join._roles(spark.createDataFrame(pairs, "a binary, b binary"))
+    by = {bytes(r["digest"]): [(bytes(x["hub"]), x["block"], x["is_hub"]) for x in r["roles"]] for r in roles.collect()}
+    assert all(len(by[bytes([i])]) == 1 and by[bytes([i])][0][0] == b"h" and not by[bytes([i])][0][2] for i in range(10))
+    assert sorted(by[b"h"]) == sorted({(b"h", by[bytes([i])][0][1], True) for i in range(10)}) and len(by[b"h"]) <= 3
+    assert sorted([by[b"x"], by[b"y"]]) == [[(b"x", 0, False)], [(b"x", 0, True)]]
+
+
+def test_pairs_are_counted_once(spark, monkeypatch):
+    texts = ["a b c d e f g h i j", "a b c d e f g h i k", "a b c d e z y x w v", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    digests = [shingles.set_digest(s) for s in shingles.shingle_sets([(t or "").encode() for t in texts], 1)]
+    wanted = spark.createDataFrame(list(enumerate(digests)), "doc_id long, wanted binary")
+    details = docs.join(wanted, "doc_id").mapInArrow(jaccard_join._details(1), jaccard_join._DETAILS).cache()
+    assert "parts" not in details.columns
+    pairs = spark.createDataFrame([tuple(sorted((digests[x], digests[y]))) for x, y in [(0, 1), (0, 2), (1, 2)]], "a binary, b binary")
+    with jaccard_join.Scratch(spark, "pairs") as scratch:
+        counted = []
+        linked = jaccard_join._links(scratch, "first", pairs, details, (docs, 1), 80, counted)
+        assert [sorted(map(bytes, r)) for r in linked.collect()] == [sorted(digests[:2])]
+        monkeypatch.setattr(jaccard_join, "_parts", None)  # nothing is left to count
+        assert jaccard_join._links(scratch, "again", pairs, details, (docs, 1), 80, counted).count() == 0
+
+
+def test_executors_give_heap_back(spark):
+    from folioscope.llm.common import CLEANUP, release_heaps
+
+    heap = spark._jvm.java.lang.Runtime.getRuntime()  # in local mode the executor's, too
+    held = spark._jvm.java.nio.ByteBuffer.allocate(200_000_000)
+    before = heap.totalMemory() - heap.freeMemory()
+    del held
+    __import__("gc").collect()
+    release_heaps(spark)
+    assert heap.totalMemory() - heap.freeMemory() < before - 100_000_000
+    assert spark.conf.get(CLEANUP, "false") == "false"
